@@ -1,0 +1,65 @@
+"""Text of a whole group in order, without one task ever holding a large group."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from trenchbook import config
+
+
+def ordered_text(
+    rows: DataFrame,
+    key: str,
+    order: Column,
+    texts: dict[str, Column],
+    *,
+    separator: str,
+    closing: str = "",
+    descending: bool = False,
+    rows_per_part: int = config.ROWS_PER_PART,
+) -> DataFrame:
+    """Join each text of a group into one cell, in order: (key, part, *texts).
+
+    A group of up to ``rows_per_part`` rows is whole in its part 0. A larger
+    group is cut into parts 1, 2, …, rising but with gaps: read in that order
+    they are the whole text. A null text counts as ''. ``closing`` follows the last
+    member of every part.
+
+    A range shuffle on (key, order) spreads a large group over many tasks in
+    order, and each task joins its own stretch. The stretch is used once, in the
+    same shuffle that made it, so no second evaluation can disagree with it.
+    """
+    rows = rows.filter(F.col(key).isNotNull()).select(
+        key,
+        order.alias("order"),
+        *[F.coalesce(text, F.lit("")).alias(name) for name, text in texts.items()],
+    )
+    # The rebalance lets the runtime see how few groups are large, and broadcast
+    # their keys (or skip the join) instead of sorting every row.
+    large = (
+        rows.groupBy(key)
+        .agg(F.count("*").alias("size"))
+        .filter(F.col("size") > rows_per_part)
+        .select(key)
+        .hint("rebalance")
+    )
+
+    def joined(grouped: DataFrame) -> DataFrame:
+        ordered = F.sort_array(F.col("members"), asc=not descending)
+        cells = [
+            F.concat(
+                F.array_join(F.transform(ordered, lambda m: m[name]), separator),
+                F.lit(closing),
+            ).alias(name)
+            for name in texts
+        ]
+        return grouped.select(key, "part", *cells)
+
+    members = F.collect_list(F.struct("order", *texts)).alias("members")
+    whole = rows.join(large, key, "left_anti").groupBy(key).agg(members)
+    ranged = rows.join(large, key, "left_semi").repartitionByRange(
+        key, F.desc("order") if descending else F.asc("order")
+    )
+    cut = ranged.groupBy(key, (F.spark_partition_id() + 1).alias("part")).agg(members)
+    return joined(whole.withColumn("part", F.lit(0))).unionByName(joined(cut))

@@ -1,0 +1 @@
+"""Intentionally empty: every run is a full batch rebuild, there is no stream to process."""
