@@ -85,7 +85,7 @@ def largest_two(polygons: Column) -> Column:
     number of polygons.
     """
     measured = F.filter(polygons, lambda p: p.area.isNotNull())
-    empty = F.filter(polygons, lambda p: F.lit(False))
+    none = F.array().cast("array<struct<wkt:string,area:double,low:double,pos:int>>")
 
     def keep(best: Column, p: Column) -> Column:
         first, second = F.get(best, 0).area, F.get(best, 1).area
@@ -97,7 +97,7 @@ def largest_two(polygons: Column) -> Column:
             .otherwise(best)
         )
 
-    return F.aggregate(measured, empty, keep)
+    return F.aggregate(measured, none, keep)
 
 
 def opening_closing(polygons: Column) -> Column:

@@ -132,8 +132,11 @@ SHARED = ["Source", "Context_UUID", "ASU_UUID", "Identifier"]
 def counts_context_asu(phased: DataFrame, rolled: DataFrame) -> DataFrame:
     """Phases with the rollup row of the same level; rows without pottery are dropped."""
     own = _count_columns(rolled, F.coalesce("ASU_UUID", "Context_UUID"))
-    at_asu = F.col("Pottery_ASU_UUID").isNotNull()
-    return phased.join(own, "IdentifierUUID").filter(at_asu == is_asu())
+    # Not written as an equality, which would become a join key and move the wide table again.
+    same_level = F.when(is_asu(), F.col("Pottery_ASU_UUID").isNotNull()).otherwise(
+        F.col("Pottery_ASU_UUID").isNull()
+    )
+    return phased.join(own, "IdentifierUUID").filter(same_level)
 
 
 def counts_context(phased: DataFrame, rolled: DataFrame) -> DataFrame:

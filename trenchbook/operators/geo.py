@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trenchbook import config
@@ -11,30 +11,33 @@ from trenchbook.functions.text import position_axis
 from trenchbook.operators.contexts import contexts_only
 
 
-def dedupe_first(rows: DataFrame, key: str) -> DataFrame:
-    """First row of each key, rows without a key counting as one key.
+def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Keys on more than one row, with the seq of the first: (repeated_key, first_seq).
 
-    The first row is kept as a running minimum, so copies are dropped before the
-    shuffle and no task ever holds them all.
+    Counted before the shuffle, on two narrow columns. The rebalance lets the
+    runtime see how few there are and broadcast them, or skip the join when there are none.
     """
-    kept = F.struct(*[f"`{c}`" for c in rows.columns])
-    return rows.groupBy(F.col(key).alias("dedupe_key")).agg(
-        F.min_by(kept, "seq").alias("kept")
-    ).select("kept.*")
-
-
-def repeated_rows(rows: DataFrame, key: str) -> DataFrame:
-    """All but the first row of each key."""
-    repeated = (
+    return (
         rows.groupBy(F.col(key).alias("repeated_key"))
         .agg(F.count("*").alias("copies"), F.min("seq").alias("first_seq"))
         .filter(F.col("copies") > 1)
+        .drop("copies")
         .hint("rebalance")
     )
-    return rows.join(
-        repeated,
-        F.col(key).eqNullSafe(F.col("repeated_key")) & (F.col("seq") > F.col("first_seq")),
-    ).select(rows["*"])
+
+
+def _is_later_copy(key: str) -> Column:
+    return F.col(key).eqNullSafe(F.col("repeated_key")) & (F.col("seq") > F.col("first_seq"))
+
+
+def dedupe_first(rows: DataFrame, key: str) -> DataFrame:
+    """First row of each key, rows without a key counting as one key."""
+    return rows.join(repeated_keys(rows, key), _is_later_copy(key), "left_anti")
+
+
+def repeated_rows(rows: DataFrame, key: str) -> DataFrame:
+    """All but the first row of each key."""
+    return rows.join(repeated_keys(rows, key), _is_later_copy(key), "left_semi")
 
 
 def split_position(rows: DataFrame) -> DataFrame:

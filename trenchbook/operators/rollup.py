@@ -97,21 +97,21 @@ def rollup_context_asu(
     The context of an ASU comes from the context table.
     """
     columns = columns or config.SUMMED_COLUMNS
-    rolled = _rolled(pottery, own_level_key(), columns, rows_per_part).select(
-        "*",
-        F.when(F.col("key.at_asu"), F.col("key.uuid")).alias("ASU_UUID"),
-        F.when(~F.col("key.at_asu"), F.col("key.uuid")).alias("own_context"),
-    )
-    labels = ["Source", "ContextID", *columns]
-    asus = (
-        rolled.filter("key.at_asu")
-        .join(asu_contexts(master), "ASU_UUID", "left")
-        .select(*labels, F.col("asu_context").alias("Context_UUID"), "ASU_UUID", "Identifier")
-    )
-    contexts = rolled.filter("not key.at_asu").select(
-        *labels, F.col("own_context").alias("Context_UUID"), "ASU_UUID", "Identifier"
+    at_asu = F.col("key.at_asu")
+    context = F.when(at_asu, F.col("asu_context")).otherwise(F.col("key.uuid"))
+    asus = asu_contexts(master).withColumnRenamed("ASU_UUID", "asu")
+    return (
+        _rolled(pottery, own_level_key(), columns, rows_per_part)
+        .join(asus, (F.col("key.uuid") == F.col("asu")) & at_asu, "left")
+        .select(
+            "Source",
+            "ContextID",
+            *columns,
+            context.alias("Context_UUID"),
+            F.when(at_asu, F.col("key.uuid")).alias("ASU_UUID"),
+            "Identifier",
+        )
     )
-    return contexts.unionByName(asus)
 
 
 def rollup_context(

@@ -106,6 +106,7 @@ select 'T' || cast(l_suppkey % 20 as string) as Source,
 from {lineitem} where l_returnflag = 'R'
 """
 
+# A few bag keys repeat; their seq still differs.
 BAG = """
 select 'T' || cast(l_suppkey % 20 as string) as Source,
        case when l_partkey % 41 = 0 then null else cast(l_orderkey as string) end as ContextID,
@@ -143,7 +144,7 @@ select 'T' || cast(l_suppkey % 20 as string) as Source,
             when l_partkey % 31 = 0 then null else cast(l_quantity as string) end as PotteryCountBeforeMending,
        cast(l_extendedprice as string) as PotteryWeightBeforeMending,
        'P-' || cast(l_orderkey as string) || '-' || cast(l_partkey as string) || '-' || cast(l_suppkey as string)
-            || '-' || cast(l_linenumber as string) as seq
+            || '-' || cast(l_linenumber as string) || '/' || cast(l_extendedprice as string) as seq
 from {lineitem}
 """
 

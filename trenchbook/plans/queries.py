@@ -70,7 +70,7 @@ class Site:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
         # Test tables are one row group each; smaller files let local cores share them.
-        rows = 100_000 if spark.sparkContext.master.startswith("local") else 0
+        rows = 20_000 if spark.sparkContext.master.startswith("local") else 0
         folder = f"{shared_folder(spark)}/{md5(sf_dir.encode()).hexdigest()[:12]}"
         self.stages = Stages(spark, folder, rows)
 

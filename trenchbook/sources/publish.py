@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trenchbook.operators.geo import dedupe_first
+from trenchbook.operators.geo import dedupe_first, repeated_rows
 from trenchbook.sources.schema import TableSchema
 
 KEY = "IdentifierUUID"
@@ -35,16 +35,8 @@ def publish_table(rows: DataFrame, schema: TableSchema, key: str = KEY) -> DataF
 
 def publish_rejects(rows: DataFrame, key: str = KEY, *keep: str) -> DataFrame:
     """Rows that do not load, and why: (*keep, reason)."""
-    first = (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("first_key"))
-        .agg(F.count("*").alias("copies"), F.min("seq").alias("first_seq"))
-        .filter(F.col("copies") > 1)
-        .hint("rebalance")
-    )
-    repeated = rows.join(
-        first, (F.col(key) == F.col("first_key")) & (F.col("seq") > F.col("first_seq"))
-    ).select(*keep, F.lit("key loaded before").alias("reason"))
+    keyed = rows.filter(F.col(key).isNotNull())
+    repeated = repeated_rows(keyed, key).select(*keep, F.lit("key loaded before").alias("reason"))
     return repeated.unionByName(
         rows.filter(F.col(key).isNull()).select(*keep, F.lit("no key").alias("reason"))
     )
