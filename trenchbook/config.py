@@ -215,4 +215,4 @@ FIND_TITLES = [
 # End of fixed values.
 
 # Bags whose text is joined into one cell; a larger group continues in further parts.
-ROWS_PER_PART = 100_000
+ROWS_PER_PART = 10_000

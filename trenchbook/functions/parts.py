@@ -27,8 +27,8 @@ def ordered_text(
     member of every part.
 
     A range shuffle on (key, order) spreads a large group over many tasks in
-    order, and each task joins its own stretch. The stretch is used once, in the
-    same shuffle that made it, so no second evaluation can disagree with it.
+    order. Each task sorts its stretch, spilling as it must, numbers its rows, and
+    every ``rows_per_part`` numbers make a part, so no collected list is longer than that.
     """
     rows = rows.filter(F.col(key).isNotNull()).select(
         key,
@@ -58,8 +58,13 @@ def ordered_text(
 
     members = F.collect_list(F.struct("order", *texts)).alias("members")
     whole = rows.join(large, key, "left_anti").groupBy(key).agg(members)
-    ranged = rows.join(large, key, "left_semi").repartitionByRange(
-        key, F.desc("order") if descending else F.asc("order")
+    direction = F.desc("order") if descending else F.asc("order")
+    ranged = (
+        rows.join(large, key, "left_semi")
+        .repartitionByRange(key, direction)
+        .sortWithinPartitions(key, direction)
     )
-    cut = ranged.groupBy(key, (F.spark_partition_id() + 1).alias("part")).agg(members)
-    return joined(whole.withColumn("part", F.lit(0))).unionByName(joined(cut))
+    # Row numbers rise within a task and from task to task.
+    part = F.floor(F.monotonically_increasing_id() / rows_per_part) + 1
+    cut = ranged.withColumn("part", part).groupBy(key, "part").agg(members)
+    return joined(whole.withColumn("part", F.lit(0).cast("bigint"))).unionByName(joined(cut))

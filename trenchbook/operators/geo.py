@@ -134,7 +134,7 @@ def layer(rows: DataFrame, columns: list[str]) -> DataFrame:
     The coordinate reference is kept in the metadata of the wkt column.
     """
     return rows.filter(F.col("opening").isNotNull()).select(
-        *[f"`{c}`" for c in columns if c in rows.columns and c != "opening"],
+        *[f"`{c}`" for c in columns],
         F.col("opening").alias("wkt", metadata={"crs": config.LAYER_CRS}),
     )
 

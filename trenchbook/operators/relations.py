@@ -158,7 +158,7 @@ def explode_photos(photos: DataFrame, original: str = "OriginalIdentifierUUID")
     several = F.size("members") > 1
     return (
         photos.withColumn("members", relation_members(RELATION))
-        .withColumn("parent", F.explode_outer("members"))
+        .select("*", F.posexplode_outer("members").alias("pos", "parent"))
         .withColumns(
             {
                 original: F.when(several, F.col("IdentifierUUID")),
@@ -166,9 +166,10 @@ def explode_photos(photos: DataFrame, original: str = "OriginalIdentifierUUID")
                 "IdentifierUUID": F.when(
                     several, F.md5(F.concat_ws("#", "IdentifierUUID", "parent"))
                 ).otherwise(F.col("IdentifierUUID")),
+                "seq": F.struct("seq", "pos"),
             }
         )
-        .drop("members", "parent")
+        .drop("members", "pos", "parent")
     )
 
 

@@ -201,21 +201,20 @@ def view_sql(name: str) -> str:
     }[name]
 
 
-def recording(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A recording table over the parquet tables in ``sf_dir``."""
+def recording(spark: SparkSession, sf_dir: str, name: str, tasks: int = 0) -> DataFrame:
+    """A recording table over the parquet tables in ``sf_dir``.
+
+    A test table is one row group, so one task would make all the text; ``tasks``
+    spreads the narrow input rows first.
+    """
     sql = view_sql(name)
-    inputs = {
-        t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-        for t in ("orders", "lineitem", "events")
-        if "{" + t + "}" in sql
-    }
+
+    def table(t: str) -> DataFrame:
+        rows = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        return rows.repartition(tasks) if tasks else rows
+
+    inputs = {t: table(t) for t in ("orders", "lineitem", "events") if "{" + t + "}" in sql}
     if "{context}" in sql:
-        inputs["context"] = _plain_context(spark, sf_dir)
+        inputs["context"] = spark.sql(view_sql("context"), orders=table("orders"))
     frame = spark.sql(sql, **inputs)
     return frame.withColumnRenamed("SubType", "Sub-Type") if name.startswith("context") else frame
-
-
-def _plain_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(
-        view_sql("context"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet")
-    )

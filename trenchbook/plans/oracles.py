@@ -94,7 +94,7 @@ def _noted(levels: str) -> str:
     texts = ", ".join(
         f"string_agg(coalesce({c}, ''), ' --- ' order by seq desc) || ' --- ' as {n}" for c, n in NOTES
     )
-    return f"select target, 0 as part, {texts} from {levels} group by target"
+    return f"select target, cast(0 as bigint) as part, {texts} from {levels} group by target"
 
 
 def _phases(geo: str, flags: str, notes: str) -> str:
@@ -409,7 +409,7 @@ SQL = {
     "int_sum": "select Source as key, " + ", ".join(
         f"cast(coalesce(sum({WHOLE.format(c)}), 0) as bigint) as {c}" for c in COUNTS
     ) + " from t_bag group by 1",
-    "concat_ids": "select key, 0 as part, Identifier from rolled_context",
+    "concat_ids": "select key, cast(0 as bigint) as part, Identifier from rolled_context",
     "first_labels": "select key, Source, ContextID from rolled_context",
     "bad_numbers": " union all ".join(
         f"""select Source, ContextID, Identifier, '{c}' as "column", {c} as value from t_bag

@@ -59,7 +59,6 @@ REPORT_SCHEMA = TableSchema(
         Field("IdentifierUUID"),
     )
 )
-MAP_COLUMNS = [*config.LAYER_COLUMNS, "Context_UUID"]
 
 _sites: dict[tuple[str, str], "Site"] = {}
 
@@ -69,14 +68,15 @@ class Site:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
-        # Test tables are one row group each; smaller files let local cores share them.
-        rows = 20_000 if spark.sparkContext.master.startswith("local") else 0
+        # Test tables are one row group each; spreading them lets local cores share them.
+        local = spark.sparkContext.master.startswith("local")
+        self.tasks = spark.sparkContext.defaultParallelism if local else 0
         folder = f"{shared_folder(spark)}/{md5(sf_dir.encode()).hexdigest()[:12]}"
-        self.stages = Stages(spark, folder, rows)
+        self.stages = Stages(spark, folder)
 
     def raw(self, name: str) -> DataFrame:
         """A recording table, as a site-wide type table would be kept."""
-        return self.stages.table(name, lambda: recording(self.spark, self.sf_dir, name))
+        return self.stages.table(name, lambda: recording(self.spark, self.sf_dir, name, self.tasks))
 
     def make_master(self) -> DataFrame:
         return contexts.master_context(self.raw("context"))
@@ -339,7 +339,9 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "asu_without_context_row": lambda s: geo.asu_without_context_row(s.geo()),
     "polygon_features": lambda s: geo.polygon_features(s.geo()),
     "layer_phase_pottery": lambda s: geo.layer_phase_pottery(
-        chronology.counts_context(chronology.phases_context(s.geo(), s.pottery()), s.rolled())
+        chronology.counts_context(chronology.phases_context(s.geo(), s.pottery()), s.rolled()),
+        [*config.LAYER_COLUMNS, *chronology.SLOTS, "Period", *config.NOTE_COLUMNS.values(),
+         "ContextID", *COUNTS, "Context_UUID"],
     ),
     "layer_find_summary": lambda s: geo.layer_find_summary(
         finds.finds_context(contexts.contexts_only(s.geo()), s.finds())

@@ -28,18 +28,19 @@ def shared_folder(spark: SparkSession) -> str:
 class Stages:
     """Named tables under one folder, made on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str, rows_per_file: int = 0) -> None:
+    def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
-        self.rows_per_file = rows_per_file
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """The table of that name; the first call writes it."""
         if name not in self._tables:
             path = f"{self.folder}/{name}"
-            make().write.mode("overwrite").option(
-                "maxRecordsPerFile", self.rows_per_file
-            ).parquet(path)
+            make().write.mode("overwrite").parquet(path)
             self._tables[name] = self.spark.read.parquet(path)
         return self._tables[name]
+
+    def get(self, name: str) -> DataFrame:
+        """A table made before."""
+        return self._tables[name]
