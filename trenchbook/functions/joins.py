@@ -1,4 +1,4 @@
-"""Joins that keep rows without a key out of one task."""
+"""Joins whose left side may hold one key a third of the time, or no key at all."""
 
 from __future__ import annotations
 
@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 SPREAD = 4096
 
 
+def join_lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join to a table with one row per key, in a way the runtime can split hot keys.
+
+    Adaptive execution splits a skewed join only where both sides come straight
+    from a shuffle of their own. A table that was just aggregated by the key does not,
+    so it is rebalanced first. That also shows its true size, and a small one is broadcast.
+    """
+    return rows.join(table.hint("rebalance"), key, how)
+
+
 def left_join_spread(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Left join on a text key, of a table with one row per key.
 
@@ -18,7 +28,10 @@ def left_join_spread(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64("seq"), F.lit(SPREAD)).cast("string"))
     added = [c for c in table.columns if c != key]
     return (
-        rows.withColumn("join_key", F.coalesce(F.col(key), apart))
-        .join(table.withColumnRenamed(key, "join_key"), "join_key", "left")
-        .select(*[f"`{c}`" for c in rows.columns], *[f"`{c}`" for c in added])
+        join_lookup(
+            rows.withColumn("join_key", F.coalesce(F.col(key), apart)),
+            table.withColumnRenamed(key, "join_key"),
+            "join_key",
+            "left",
+        ).select(*[f"`{c}`" for c in rows.columns], *[f"`{c}`" for c in added])
     )

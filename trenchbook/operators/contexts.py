@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trenchbook import config
-from trenchbook.functions.joins import left_join_spread
+from trenchbook.functions.joins import join_lookup, left_join_spread
 from trenchbook.functions.text import is_asu, relation_members
 
 
@@ -56,7 +56,7 @@ def asu_parents(contexts: DataFrame) -> DataFrame:
         )
     )
     first = (
-        listed.join(known, "parent")
+        join_lookup(listed, known, "parent")
         .groupBy("RelationBelongsToUUID")
         .agg(F.min("pos").alias("pos"))
     )

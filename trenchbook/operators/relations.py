@@ -2,8 +2,8 @@
 
 What a record belongs to depends only on its relation text. Each distinct text is
 therefore resolved once (so a parent with a third of all children costs one row), and
-the answer is joined back to the records. That join has one row per text on its right, so
-a hot text only makes its left side large, which adaptive execution splits.
+the answer is joined back to the records. Each join has one row per key on its right, so a
+hot key only makes the left side large, and adaptive execution splits that.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trenchbook.functions.joins import left_join_spread
+from trenchbook.functions.joins import join_lookup, left_join_spread
 from trenchbook.functions.text import relation_members
 from trenchbook.operators.contexts import KINDS, asu_contexts
 
@@ -48,8 +48,9 @@ def classify_texts(rows: DataFrame, index: DataFrame) -> DataFrame:
     last["unknown"] = F.max(F.when(F.col("kind").isNull(), F.col("pos"))).alias("unknown")
     members = relation_members(RELATION)
     return (
-        distinct_members(rows)
-        .join(index.withColumnRenamed("uuid", "parent"), "parent", "left")
+        join_lookup(
+            distinct_members(rows), index.withColumnRenamed("uuid", "parent"), "parent", "left"
+        )
         .groupBy(RELATION)
         .agg(*last.values())
         .select(RELATION, *[F.get(members, F.col(name)).alias(name) for name in last])
@@ -64,8 +65,8 @@ def classify_parents(rows: DataFrame, index: DataFrame, master: DataFrame) -> Da
     resolved = classify_texts(rows, index).withColumn(
         "ASU_UUID", F.when(F.col("context").isNull(), F.col("asu"))
     )
-    found = resolved.filter(F.col("ASU_UUID").isNotNull()).join(
-        asu_contexts(master), "ASU_UUID", "left"
+    found = join_lookup(
+        resolved.filter(F.col("ASU_UUID").isNotNull()), asu_contexts(master), "ASU_UUID", "left"
     )
     placed = found.unionByName(
         resolved.filter(F.col("ASU_UUID").isNull()).withColumn(
@@ -91,8 +92,8 @@ def orphans_unresolved(rows: DataFrame, index: DataFrame, *keep: str) -> DataFra
     missing = classify_texts(rows, index).filter(
         F.col("context").isNull() & F.col("asu").isNull() & F.col("unknown").isNotNull()
     )
-    return rows.join(
-        missing.select(RELATION, F.col("unknown").alias("parent")), RELATION
+    return join_lookup(
+        rows, missing.select(RELATION, F.col("unknown").alias("parent")), RELATION
     ).select(*keep, "parent")
 
 
@@ -125,8 +126,7 @@ def bag_candidates(samples: DataFrame, master: DataFrame, finds: DataFrame) -> D
 def pottery_texts(bags: DataFrame, candidates: DataFrame) -> DataFrame:
     """Keys each relation text of a bag leads to: those of the first member that is a candidate."""
     return (
-        distinct_members(bags)
-        .join(candidates, "parent")
+        join_lookup(distinct_members(bags), candidates, "parent")
         .groupBy(RELATION)
         .agg(F.min_by("keys", "pos").alias("keys"))
         .select(RELATION, "keys.*")

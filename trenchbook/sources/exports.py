@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,11 @@ from trenchbook.operators.quality import check_header
 from trenchbook.sources.schema import TableSchema
 
 
+def _decoded(column: str) -> Column:
+    """File metadata as plain text: it is URL-encoded, but a plus sign in it is a plus sign."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.tab") -> DataFrame:
     """Files under the folder: (path, file_name). Only the listing is read, no content."""
     listed = (
@@ -23,9 +28,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.tab") -> Data
         .load(folder)
         .select("path")
     )
-    # Paths come URL-encoded.
-    name = F.url_decode(F.substring_index("path", "/", -1))
-    return listed.withColumn("file_name", name)
+    return listed.withColumn("file_name", F.substring_index("path", "/", -1))
 
 
 def route_type(
@@ -65,7 +68,7 @@ def read_headers(spark: SparkSession, paths: list[str] | str, separator: str = "
         F.min_by("value", "line").alias("first")
     )
     clean = F.regexp_replace("first", "[\\uFEFF\\r\"]", "")
-    return first.select("path", F.split(clean, separator).alias("header"))
+    return first.select(_decoded("path").alias("path"), F.split(clean, separator).alias("header"))
 
 
 def scan_exports(
@@ -97,9 +100,9 @@ def scan_exports(
     )
     return rows.select(
         *[blank_to_null(F.col(f"`{c}`")).alias(c) for c in columns],
-        F.col("_metadata.file_name").alias("file_name"),
+        _decoded("_metadata.file_name").alias("file_name"),
         F.struct(
-            F.col("_metadata.file_name").alias("file"),
+            _decoded("_metadata.file_name").alias("file"),
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
@@ -146,7 +149,7 @@ def line_numbers(found: DataFrame, rows: DataFrame) -> DataFrame:
     )
     return (
         found.withColumns({"path": F.col("row.path"), "block": F.col("row.block")})
-        .join(starts, ["path", "block"])
+        .join(starts.hint("rebalance"), ["path", "block"])
         .withColumn("line", F.col("row.row") + F.col("shift"))
         .drop("path", "block", "shift")
     )
