@@ -110,6 +110,17 @@ def test_area_far_from_origin(frame):
     assert rows.select(wkt.measured_polygons(F.col("w"))[0].area.alias("a")).first().a == 1.0
 
 
+def test_ring_of_many_points(frame):
+    """A long ring is measured and checked whole."""
+    n = 40000
+    edge = [f"{i} 0 1" for i in range(n)] + [f"{i} 2 1" for i in range(n - 1, -1, -1)] + ["0 0 1"]
+    ring = f"POLYGON Z (({', '.join(edge)}))"
+    row = frame("w", (f"GEOMETRYCOLLECTION({ring})",)).select(
+        wkt.measured_polygons(F.col("w"))[0].alias("p")
+    ).select("p.*", wkt.is_well_formed(F.col("p.wkt")).alias("good")).first()
+    assert (row.area, row.low, row.good, row.wkt) == (2.0 * (n - 1), 0.0, True, ring)
+
+
 def whole_texts(rows, key, column, separator):
     """Parts of each key put together again."""
     found = {}

@@ -24,51 +24,48 @@ def polygon_texts(wkt: Column) -> Column:
     )
 
 
-def ring_points(polygon: Column) -> Column:
-    """Points of a polygon's outer ring as arrays of doubles; a bad number is a null."""
-    body = F.regexp_extract(polygon, r"\(\(([^)]*)\)", 1)
-    return F.transform(
-        F.split(body, ","),
-        lambda point: F.transform(
-            F.split(F.trim(point), r"\s+"), lambda number: number.try_cast("double")
-        ),
+def ring(polygon: Column) -> Column:
+    """A polygon's outer ring as a struct (numbers, axes): all coordinates in one flat
+    array, a bad number as a null, and how many make a point."""
+    body = F.trim(F.regexp_extract(polygon, r"\(\(([^)]*)\)", 1))
+    first_point = F.trim(F.substring_index(body, ",", 1))
+    return F.struct(
+        F.transform(F.split(body, r"[\s,]+"), lambda n: n.try_cast("double")).alias("numbers"),
+        F.size(F.split(first_point, r"\s+")).alias("axes"),
     )
 
 
-def ring_area(points: Column) -> Column:
+def ring_area(numbers: Column, axes: Column) -> Column:
     """Planar area of a ring by the shoelace rule over X and Y.
 
     Coordinates are taken relative to the first point, so that large grid
-    coordinates do not cost digits.
+    coordinates do not cost digits. Null when a number is bad or points differ in length.
     """
-    x0, y0 = F.get(F.get(points, 0), 0), F.get(F.get(points, 0), 1)
-
-    def cross(point: Column, index: Column) -> Column:
-        following = F.get(points, (index + 1) % F.size(points))
-        x, y = F.get(point, 0) - x0, F.get(point, 1) - y0
-        return x * (F.get(following, 1) - y0) - (F.get(following, 0) - x0) * y
-
-    total = F.aggregate(F.transform(points, cross), F.lit(0.0), lambda acc, term: acc + term)
-    return F.abs(total) / 2
+    x0, y0 = F.get(numbers, 0), F.get(numbers, 1)
 
+    def term(x: Column, i: Column) -> Column:
+        following = (i + axes) % F.size(numbers)
+        cross = (x - x0) * (F.get(numbers, following + 1) - y0) - (
+            F.get(numbers, following) - x0
+        ) * (F.get(numbers, i + 1) - y0)
+        return F.when(i % axes == 0, cross).otherwise(0.0)
 
-def ring_low(points: Column) -> Column:
-    """Smallest coordinate of the ring, over all axes."""
-    return F.array_min(F.flatten(points))
+    total = F.aggregate(F.transform(numbers, term), F.lit(0.0), lambda acc, t: acc + t)
+    return F.when(F.size(numbers) % axes == 0, F.abs(total) / 2)
 
 
 def measured_polygons(wkt: Column) -> Column:
     """Polygons of the collection as an array of (wkt, area, low, pos)."""
 
     def measure(text: Column, pos: Column) -> Column:
-        # The points are parsed once and handed to both measures.
+        # The ring is parsed once and handed to both measures.
         return F.get(
             F.transform(
-                F.array(ring_points(text)),
-                lambda points: F.struct(
+                F.array(ring(text)),
+                lambda r: F.struct(
                     text.alias("wkt"),
-                    ring_area(points).alias("area"),
-                    ring_low(points).alias("low"),
+                    ring_area(r.numbers, r.axes).alias("area"),
+                    F.array_min(r.numbers).alias("low"),
                     pos.alias("pos"),
                 ),
             ),
@@ -111,9 +108,13 @@ def opening_closing(polygons: Column) -> Column:
 
 
 def is_well_formed(polygon: Column) -> Column:
-    """True for a single-ring polygon of at least four points, each of two or three numbers."""
-    points = ring_points(polygon)
-    good_point = lambda p: F.size(p).isin(2, 3) & F.forall(p, lambda n: n.isNotNull())
-    return polygon.rlike("^" + config.POLYGON_PATTERN + "$") & (F.size(points) >= 4) & F.forall(
-        points, good_point
+    """True for a single-ring polygon of at least four points, each of two or three numbers.
+
+    Points are matched one by one: a pattern over a whole ring would recurse once per point.
+    """
+    points = F.split(F.regexp_extract(polygon, r"\(\(([^)]*)\)", 1), ",")
+    return (
+        polygon.rlike("^" + config.POLYGON_PATTERN + "$")
+        & (F.size(points) >= 4)
+        & F.forall(points, lambda p: F.trim(p).rlike(config.POINT_PATTERN))
     )

@@ -369,7 +369,7 @@ SQL = {
         where ASU_UUID is null and Context_UUID is not null""",
     "explode_relation": f"""select IdentifierUUID, e.pos, e.parent from t_photo
         left join ({_edges("t_photo")}) e using (seq)""",
-    "key_index": "select * from key_list",
+    "guid_index": "select * from key_list",
     "asu_parent": f"select IdentifierUUID, Context_UUID, ASU_UUID from master where {ASU}",
     "classify_parents": "select * exclude (seq, unknown) from samples",
     "asu_fallback_context": """select IdentifierUUID, Context_UUID, ASU_UUID, FlotationBag_UUID, PotteryBag_UUID
@@ -382,7 +382,7 @@ SQL = {
     "asu_no_parent": f"""select Source, Identifier, IdentifierUUID,
         case when RelationBelongsToUUID is null then 'no parent given' else 'parent is not a context' end as reason
         from master where {ASU} and Context_UUID is null""",
-    "pottery_no_keys": """select Source, ContextID, Identifier from pottery
+    "pottery_no_fk": """select Source, ContextID, Identifier from pottery
         where Context_UUID is null and ASU_UUID is null""",
     "pottery_key_check": """select Source, ContextID, Identifier, RelationBelongsToUUID from pottery
         where Context_UUID is null and ASU_UUID is null""",
@@ -473,7 +473,7 @@ SQL = {
         {", ".join(f'"{s}"' for s in SLOTS)}, Period, {", ".join(n for _, n in NOTES)}, r.ContextID, {_counts},
         p.Context_UUID, opening as wkt
         from context_phased p join rolled_context r on p.IdentifierUUID = r.key where opening is not null""",
-    "layer_find_summary": f"""select Source, Type, "Sub-Type", Identifier, Title, Description, IdentifierUUID,
+    "layer_sf_summary": f"""select Source, Type, "Sub-Type", Identifier, Title, Description, IdentifierUUID,
         Context_UUID, ASU_UUID, {", ".join(f'"{c}"' for c in CLASSES)}, opening as wkt
         from found_context where opening is not null""",
     "bad_wkt": r"""select IdentifierUUID, wkt from (

@@ -119,12 +119,30 @@ class Site:
     def geo(self) -> DataFrame:
         return self.stages.table("geo", lambda: geo.geo_contexts(self.master()))
 
-    def rolled_asu(self) -> DataFrame:
+    def make_rolled_asu(self) -> DataFrame:
         return rollup.rollup_context_asu(self.pottery(), self.master(), COUNTS)
 
-    def rolled(self) -> DataFrame:
+    def rolled_asu(self) -> DataFrame:
+        return self.stages.table("rolled_asu", self.make_rolled_asu)
+
+    def make_rolled(self) -> DataFrame:
         return rollup.rollup_context(self.pottery(), COUNTS)
 
+    def rolled(self) -> DataFrame:
+        return self.stages.table("rolled", self.make_rolled)
+
+    def make_phased_asu(self) -> DataFrame:
+        return chronology.phases_context_asu(self.geo(), self.pottery())
+
+    def phased_asu(self) -> DataFrame:
+        return self.stages.table("phased_asu", self.make_phased_asu)
+
+    def make_phased(self) -> DataFrame:
+        return chronology.phases_context(self.geo(), self.pottery())
+
+    def phased(self) -> DataFrame:
+        return self.stages.table("phased", self.make_phased)
+
     def violations(self) -> dict[str, DataFrame]:
         return {
             "pottery": quality.violations(self.raw("bag"), BAG_SCHEMA, "Source"),
@@ -247,7 +265,7 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "explode_relation": lambda s: relations.explode_relation(
         s.raw("photo"), "RelationBelongsToUUID", "IdentifierUUID"
     ),
-    "key_index": lambda s: s.make_index(),
+    "guid_index": lambda s: s.make_index(),
     "asu_parent": lambda s: s.make_master()
     .filter(is_asu())
     .select("IdentifierUUID", "Context_UUID", "ASU_UUID"),
@@ -265,7 +283,7 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
         s.raw("sample"), s.index(), "Source", "IdentifierUUID"
     ),
     "asu_no_parent": lambda s: contexts.asu_no_parent(s.make_master()),
-    "pottery_no_keys": lambda s: relations.pottery_no_keys(
+    "pottery_no_fk": lambda s: relations.pottery_no_keys(
         s.make_pottery(), "Source", "ContextID", "Identifier"
     ),
     "pottery_key_check": lambda s: relations.pottery_no_keys(
@@ -276,8 +294,8 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
         s.raw("join"), s.pottery(), "IdentifierUUID"
     ),
     # Rollups
-    "rollup_context_asu": Site.rolled_asu,
-    "rollup_context": Site.rolled,
+    "rollup_context_asu": Site.make_rolled_asu,
+    "rollup_context": Site.make_rolled,
     "int_sum": lambda s: rollup.int_sums(s.raw("bag"), F.col("Source"), COUNTS),
     "concat_ids": lambda s: rollup.concat_ids(s.pottery(), rollup.context_key()),
     "first_labels": lambda s: rollup.first_labels(s.pottery(), rollup.context_key()),
@@ -294,14 +312,14 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
         "target", "Period"
     ),
     "bag_notes": lambda s: chronology.bag_notes(chronology.bag_levels(s.pottery())),
-    "phases_context_asu": lambda s: chronology.phases_context_asu(s.geo(), s.pottery()).drop("seq"),
-    "phases_context": lambda s: chronology.phases_context(s.geo(), s.pottery()).drop("seq"),
+    "phases_context_asu": lambda s: s.make_phased_asu().drop("seq"),
+    "phases_context": lambda s: s.make_phased().drop("seq"),
     "counts_context_asu": lambda s: chronology.counts_context_asu(
-        chronology.phases_context_asu(s.geo(), s.pottery()), s.rolled_asu()
+        s.phased_asu(), s.rolled_asu()
     ).select("IdentifierUUID", "Type", "Period", "Kastri", "ContextID", *COUNTS,
              "Pottery_Source", "Pottery_Context_UUID", "Pottery_ASU_UUID", "Pottery_Identifier"),
     "counts_context": lambda s: chronology.counts_context(
-        chronology.phases_context(s.geo(), s.pottery()), s.rolled()
+        s.phased(), s.rolled()
     ).select("IdentifierUUID", "Type", "Period", "Kastri", "ContextID", *COUNTS,
              "Pottery_Source", "Pottery_Context_UUID", "Pottery_Identifier"),
     "no_counts": lambda s: chronology.no_counts(
@@ -339,11 +357,11 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "asu_without_context_row": lambda s: geo.asu_without_context_row(s.geo()),
     "polygon_features": lambda s: geo.polygon_features(s.geo()),
     "layer_phase_pottery": lambda s: geo.layer_phase_pottery(
-        chronology.counts_context(chronology.phases_context(s.geo(), s.pottery()), s.rolled()),
+        chronology.counts_context(s.phased(), s.rolled()),
         [*config.LAYER_COLUMNS, *chronology.SLOTS, "Period", *config.NOTE_COLUMNS.values(),
          "ContextID", *COUNTS, "Context_UUID"],
     ),
-    "layer_find_summary": lambda s: geo.layer_find_summary(
+    "layer_sf_summary": lambda s: geo.layer_find_summary(
         finds.finds_context(contexts.contexts_only(s.geo()), s.finds())
     ),
     "bad_wkt": lambda s: geo.bad_wkt(s.geo(), "CoverageXYZ", "IdentifierUUID"),
