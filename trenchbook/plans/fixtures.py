@@ -211,7 +211,7 @@ def recording(spark: SparkSession, sf_dir: str, name: str, tasks: int = 0) -> Da
 
     def table(t: str) -> DataFrame:
         rows = spark.read.parquet(f"{sf_dir}/{t}.parquet")
-        return rows.repartition(tasks) if tasks else rows
+        return rows.repartition(tasks, rows.columns[0]) if tasks else rows
 
     inputs = {t: table(t) for t in ("orders", "lineitem", "events") if "{" + t + "}" in sql}
     if "{context}" in sql:
