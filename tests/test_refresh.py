@@ -130,13 +130,37 @@ def test_schema_files(schemas, tmp_path):
 
 def test_scan_order_and_values(spark, site, cells):
     path = str(site / "a" / "Trench A Fill Deposits.tab")
-    header = exports.read_headers(spark, [path]).first()["header"]
-    rows = exports.scan_exports(spark, [path], header)
+    found = exports.survey_files(spark, [path]).first()
+    assert found["header"] == [*SHEET["filldeposit.json"], "Colour"] and found["spans_lines"]
+    rows = exports.scan_exports(spark, [path], found["header"])
     first = rows.orderBy("seq").first()
     assert first["Description"] == 'two\nlines "here"' and first["Title"] is None
     assert [r.IdentifierUUID for r in rows.orderBy("seq").collect()] == ["C1", "C2"]
 
 
+def test_large_file_is_split_and_keeps_its_order(spark, tmp_path):
+    """One file over many tasks: first line is the header, lines keep their numbers."""
+    n = 20000
+    path = tmp_path / "Trench C Cuts.tab"
+    path.write_text("Source\tIdentifier\n" + "".join(f"?\tname {i}\n" for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32KB")
+    try:
+        found = exports.survey_files(spark, [str(path)]).collect()
+        assert [(f["header"], f["spans_lines"]) for f in found] == [(["Source", "Identifier"], False)]
+        rows = exports.scan_exports(spark, [str(path)], found[0]["header"], multi_line=False)
+        assert rows.rdd.getNumPartitions() > 5
+        picked = rows.filter("Identifier in ('name 0', 'name 9999', 'name 19999')")
+        numbered = exports.line_numbers(picked.withColumn("row", F.col("seq")), rows)
+        assert {r.Identifier: r.line for r in numbered.collect()} == {
+            "name 0": 2, "name 9999": 10001, "name 19999": 20001,
+        }
+        ordered = [r.Identifier for r in rows.orderBy("seq").collect()]
+        assert ordered == [f"name {i}" for i in range(n)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_strip_columns(spark, site, schemas):
     rows = spark.createDataFrame([("a", "b")], "Source string, Type string")
     with pytest.raises(ValueError, match="IdentifierUUID"):

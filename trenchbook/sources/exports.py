@@ -52,23 +52,33 @@ def source_from_file(files: DataFrame) -> DataFrame:
     return files.withColumn("Source", file_stem(F.col("file_name")))
 
 
-def read_headers(spark: SparkSession, paths: list[str] | str, separator: str = "\t") -> DataFrame:
-    """Header of every file, found in one job: (path, header).
+def survey_files(spark: SparkSession, paths: list[str] | str, separator: str = "\t") -> DataFrame:
+    """What must be known of each file before it is read: (path, header, spans_lines).
 
-    The first line of a file is a running minimum, so no line but the first is shuffled.
+    ``spans_lines`` is true when some line holds an odd number of quotes, so that a
+    record may go on in the next line. Only such files have to be read by one task each;
+    a file without them is split, however large it is. Both scans see the same
+    splits, so a line has the same number in both; the aggregate carries numbers only.
     """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(paths)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .filter(F.col("file_block_start") == 0)
+        .select(
+            "value",
+            _decoded("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+        )
         .withColumn("line", F.monotonically_increasing_id())
     )
-    first = lines.groupBy(F.col("file_path").alias("path")).agg(
-        F.min_by("value", "line").alias("first")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    files = lines.groupBy("path").agg(
+        F.min(F.when(F.col("block") == 0, F.col("line"))).alias("line"),
+        (F.max(quotes % 2) == 1).alias("spans_lines"),
+    )
+    clean = F.regexp_replace("value", "[\\uFEFF\\r\"]", "")
+    return lines.join(files, ["path", "line"]).select(
+        "path", F.split(clean, separator).alias("header"), "spans_lines"
     )
-    clean = F.regexp_replace("first", "[\\uFEFF\\r\"]", "")
-    return first.select(_decoded("path").alias("path"), F.split(clean, separator).alias("header"))
 
 
 def scan_exports(
@@ -160,22 +170,21 @@ def read_type(
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Site-wide table of one type from its files, and the header violations of files left out.
 
-    Files with the same header are read in one scan. The driver sees paths and
-    headers only.
+    Files with the same header, and as splittable as each other, are read in one
+    scan. The driver sees paths and headers only.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in read_headers(spark, paths, separator).collect():
-        groups.setdefault(tuple(header), []).append(path)
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for path, header, spans_lines in survey_files(spark, paths, separator).collect():
+        groups.setdefault((tuple(header), spans_lines), []).append(path)
     tables, problems = [], []
-    for header, files in groups.items():
+    for (header, spans_lines), files in groups.items():
         if set(schema.names) - set(header):
             problems += [
                 check_header(spark, list(header), schema, path.rsplit("/", 1)[-1]) for path in files
             ]
         else:
-            tables.append(
-                strip_columns(scan_exports(spark, files, list(header), separator), schema)
-            )
+            rows = scan_exports(spark, files, list(header), separator, spans_lines)
+            tables.append(strip_columns(rows, schema))
     return (
         concat_type(tables) if tables else None,
         reduce(DataFrame.unionByName, problems) if problems else None,
