@@ -1,4 +1,8 @@
-"""A training corpus from raw documents: scored, cleaned, deduplicated, decontaminated and packed."""
+"""A training corpus from raw documents: scored, cleaned, deduplicated, decontaminated and packed.
+
+Every stage takes what its predecessor kept and returns the documents' columns; the last returns the pieces of the
+packed sequences.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +10,60 @@ import sys
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from trenchbook.llm import quality as scoring  # noqa: E402
+from trenchbook.llm.decontaminate import find_leaks  # noqa: E402
+from trenchbook.llm.line_dedup import remove_repeated_lines  # noqa: E402
 from trenchbook.llm.near_dedup import near_duplicates  # noqa: E402
+from trenchbook.llm.packing import pack  # noqa: E402
+from trenchbook.llm.queries import GOOD, tokenizer_file  # noqa: E402
 from trenchbook.llm.store import Store  # noqa: E402
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score of ``GOOD`` or more stay; the model is learned from the labels of this input."""
+    model = scoring.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scoring.score(docs, model).where(F.col("score") >= GOOD).select("row.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated three-line passages go from the texts; a document that has nothing left goes as well."""
+    cut = remove_repeated_lines(docs)
+    left = cut.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    columns = [F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
+    return left.select(*columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, by five-word shingles, stays: the one with the smallest doc_id."""
-    kept = near_duplicates(docs, width=5).where("kept").select("doc_id")
+    kept = near_duplicates(docs, width=5).where("kept").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept.hint("rebalance"), "doc_id", "left_semi")
     return named.unionByName(docs.where("doc_id is null"))
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks.where(F.size("spans") == 0).select("row.*")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents in sequences of 1024 tokens."""
+    return pack(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
-#: Scores and estimates are not expressible in SQL.
+#: Scores, estimates and token ids are not expressible in SQL.
 ORACLE_SQL = None
 
 
