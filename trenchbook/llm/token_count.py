@@ -2,10 +2,10 @@
 
 No piece of the vocabulary has a word-start mark behind another character, so no merge crosses the place where
 a run of blanks begins, and a text's count is the sum over its pre-tokens (blanks and what follows them).
-Each part of the documents sends its distinct pre-tokens, with the documents they stand in and how often, to
-buckets by the pre-token's hash. A bucket counts the pieces of each distinct pre-token once, joins
-them to the frequencies and sends one sum per document back. A pre-token of every document costs a bucket
-one row per part, not one per document.
+Each part of the documents sends its distinct pre-tokens to buckets by their hash. A bucket counts the pieces of each
+distinct pre-token once and answers every part that asked. The part's frequencies, one entry per document and
+pre-token, join the answers there and are summed. A pre-token of every document costs a bucket one
+entry per part, not one per document, and the rows that move are as many as parts have distinct pre-tokens.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,96 +67,117 @@ def _hash(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mix((total[offsets[1:]] - total[offsets[:-1]]) * down[offsets[:-1]])
 
 
-_PACKED = "bucket long, docs binary, versions binary, words binary, sizes binary, fans binary, rows binary, times binary"
+_ASKED = (
+    "bucket long, part long, words binary, sizes binary,"
+    " docs array<long>, n_bytes binary, word binary, row binary, times binary"
+)
+_ANSWERED = (
+    "bucket long, part long, counts binary, docs array<long>, n_bytes binary, word binary, row binary, times binary"
+)
+_COUNTED = "doc_id long, n_bytes long, n_tokens long"
+
+
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    return pa.schema([(n, kinds[k]) for n, k in (f.split() for f in schema.split(","))])
+
+
+def _squeeze(a: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
+
+
+def _loose(blob: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(blob), kind)
+
+
+def _ask(buckets: int):
+    def part_rows(texts: pa.Array, docs: list, part: int) -> list[dict]:
+        flat, sizes = _pretokens_of(texts)
+        coded = flat.dictionary_encode()
+        data, at = text_bytes(coded.dictionary)
+        home = (_hash(data, at) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        n = len(docs)
+        pair = place[coded.indices.to_numpy()] * n + np.repeat(np.arange(n), sizes)
+        pair, times = np.unique(pair, return_counts=True)
+        length = np.diff(at)
+        rows = []
+        for b in np.unique(home):
+            own = order[np.searchsorted(home[order], b) : np.searchsorted(home[order], b, "right")]
+            text = b"".join(data[at[w] : at[w + 1]].tobytes() for w in own)
+            rows.append({"bucket": int(b), "part": part, "words": zstandard.compress(text, 1), "sizes": _squeeze(length[own].astype(np.uint32))})
+        _, ends = text_bytes(texts)
+        rows.append(
+            {
+                "bucket": buckets + part, "part": part, "docs": docs, "n_bytes": _squeeze(np.diff(ends)),
+                "word": _squeeze((pair // n).astype(np.uint32)), "row": _squeeze((pair % n).astype(np.uint32)),
+                "times": _squeeze(times.astype(np.uint32)),
+            }
+        )
+        return rows
 
-
-def _pack(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
-        squeeze = lambda a: press.compress(np.ascontiguousarray(a).tobytes())
+        part = TaskContext.get().partitionId() << 32
         for batch in batches:
             column = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
             _, offsets = text_bytes(column)
             for i, j in slices(offsets, PART_BYTES):
-                flat, sizes = _pretokens_of(column.slice(i, j - i))
-                coded = flat.dictionary_encode()
-                data, at = text_bytes(coded.dictionary)
-                doc = np.repeat(np.arange(j - i), sizes)
-                pair, times = np.unique(coded.indices.to_numpy().astype(np.int64) * (j - i) + doc, return_counts=True)
-                word, doc = pair // (j - i), pair % (j - i)
-                home = (_hash(data, at) % np.uint64(buckets)).astype(np.int64)
-                fan = np.bincount(word, minlength=len(home))
-                docs = batch.column("doc").slice(i, j - i).to_numpy()
-                versions = batch.column("version").slice(i, j - i).to_numpy()
-                rows = []
-                for b in np.unique(home):
-                    own = np.flatnonzero(home == b)
-                    here = home[word] == b
-                    used = np.unique(doc[here])
-                    text = b"".join(data[at[w] : at[w + 1]].tobytes() for w in own)
-                    rows.append(
-                        (
-                            int(b), squeeze(docs[used]), squeeze(versions[used]), press.compress(text),
-                            squeeze(np.diff(at)[own].astype(np.uint32)), squeeze(fan[own].astype(np.uint32)),
-                            squeeze(np.searchsorted(used, doc[here]).astype(np.uint32)), squeeze(times[here].astype(np.uint32)),
-                        )
-                    )
-                names = [f.split()[0] for f in _PACKED.split(", ")]
-                kinds = [pa.int64(), *[pa.binary()] * 7]
-                yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
+                rows = part_rows(column.slice(i, j - i), batch.column("doc_id").slice(i, j - i).to_pylist(), part)
+                yield pa.RecordBatch.from_pylist(rows, schema=_arrow(_ASKED))
+                part += 1
 
     return run
 
 
-_SUMS = "doc long, version long, tokens long"
-
-
-def _join(path: str):
+def _answer(buckets: int, path: str):
     def run(table: pa.Table) -> pa.Table:
-        spread = zstandard.ZstdDecompressor()
-        loose = lambda row, name, kind: np.frombuffer(spread.decompress(row[name]), kind)
-        rows = table.to_pylist()
-        parts = []
+        if table.column("bucket")[0].as_py() >= buckets:
+            empty = pa.nulls(table.num_rows, pa.binary())
+            return table.append_column("counts", empty).select(_arrow(_ANSWERED).names)
+        rows = table.select(["bucket", "part", "words", "sizes"]).to_pylist()
+        asked = []
         for r in rows:
-            ends = np.concatenate(([0], np.cumsum(loose(r, "sizes", np.uint32).astype(np.int64))))
-            data = spread.decompress(r["words"])
-            parts.append(pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)))
-        coded = pa.concat_arrays(parts).dictionary_encode()
-        pieces = pieces_of(coded.dictionary.to_pylist(), path)[coded.indices.to_numpy()]
-        low, out = 0, []
-        for r, p in zip(rows, parts, strict=True):
-            own = np.repeat(pieces[low : low + len(p)], loose(r, "fans", np.uint32)) * loose(r, "times", np.uint32)
-            docs = loose(r, "docs", np.int64)
-            tokens = np.bincount(loose(r, "rows", np.uint32), weights=own, minlength=len(docs)).astype(np.int64)
-            out.append(pa.table({"doc": docs, "version": loose(r, "versions", np.int64), "tokens": tokens}))
-            low += len(p)
-        return pa.concat_tables(out)
+            ends = np.concatenate(([0], np.cumsum(_loose(r["sizes"], np.uint32).astype(np.int64))))
+            data = pa.py_buffer(zstandard.decompress(r["words"]))
+            asked.append(pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.tobytes()), data))
+        coded = pa.concat_arrays(asked).dictionary_encode()
+        pieces = pieces_of(coded.dictionary.to_pylist(), path)[coded.indices.to_numpy()].astype(np.uint32)
+        ends = np.cumsum([len(a) for a in asked])
+        out = [
+            {"bucket": r["bucket"], "part": r["part"], "counts": _squeeze(pieces[e - len(a) : e])}
+            for r, a, e in zip(rows, asked, ends, strict=True)
+        ]
+        return pa.Table.from_pylist(out, schema=_arrow(_ANSWERED))
 
     return run
 
 
+def _sum(table: pa.Table) -> pa.Table:
+    rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
+    own = rows.pop()
+    counts = [_loose(r["counts"], np.uint32) for r in rows]
+    counts = np.concatenate([*counts, np.zeros(0, np.uint32)])
+    word = _loose(own["word"], np.uint32)
+    if len(counts) != (int(word.max()) + 1 if len(word) else 0):
+        raise RuntimeError("a part's answers don't belong to its frequencies: the input changed between attempts")
+    used = counts[word].astype(np.int64) * _loose(own["times"], np.uint32)
+    tokens = np.bincount(_loose(own["row"], np.uint32), weights=used, minlength=len(own["docs"])).astype(np.int64)
+    return pa.table(
+        {"doc_id": pa.array(own["docs"], pa.int64()), "n_bytes": _loose(own["n_bytes"], np.int64), "n_tokens": tokens}
+    )
+
+
 def count_tokens(documents: DataFrame, model_path: str) -> DataFrame:
     """Per row: doc_id, n_bytes (UTF-8) and n_tokens, as the library counts them without begin or end tokens.
 
-    A null or empty text has no bytes and no tokens. Rows that repeat doc_id and text have a row each with equal
-    counts; a null doc_id is allowed. Other columns don't matter and aren't returned; an empty table
-    gives an empty result. ``model_path`` is a file every executor has.
+    A null or empty text has no bytes and no tokens. Repeated rows have a row each; a null doc_id is
+    allowed. Other columns don't matter and aren't returned; an empty table gives an empty result. ``model_path``
+    is a file every executor has.
     """
-    low = -(2**63)
-    texts = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(low)).alias("doc"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("version", F.xxhash64("text"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = blocks_for(documents, "text", BUCKET_BYTES)
-    sums = texts.mapInArrow(_pack(buckets), _PACKED).groupBy("bucket").applyInArrow(_join(model_path), _SUMS)
-    rows = texts.select("doc", "version", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(1).alias("copies"), F.lit(0).cast("long").alias("tokens"))
-    joined = rows.unionByName(sums.withColumns({"n_bytes": F.lit(None).cast("long"), "copies": F.lit(0)}))
-    total = joined.groupBy("doc", "version").agg(
-        F.max("n_bytes").alias("n_bytes"), F.sum("copies").alias("copies"), F.sum("tokens").alias("tokens")
-    )
-    return total.select(
-        F.when(F.col("doc") != low, F.col("doc")).alias("doc_id"),
-        "n_bytes",
-        F.expr("tokens div copies").alias("n_tokens"),
-        F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
-    ).drop("copy")
+    asked = texts.mapInArrow(_ask(buckets), _ASKED)
+    answered = asked.groupBy("bucket").applyInArrow(_answer(buckets, model_path), _ANSWERED)
+    return answered.groupBy("part").applyInArrow(_sum, _COUNTED)
