@@ -2,7 +2,6 @@ from pyspark.sql import functions as F
 
 from trenchbook import config
 from trenchbook.functions import text, wkt
-from trenchbook.functions.parts import ordered_text
 
 
 def test_relation_members(frame):
@@ -119,36 +118,3 @@ def test_ring_of_many_points(frame):
         wkt.measured_polygons(F.col("w"))[0].alias("p")
     ).select("p.*", wkt.is_well_formed(F.col("p.wkt")).alias("good")).first()
     assert (row.area, row.low, row.good, row.wkt) == (2.0 * (n - 1), 0.0, True, ring)
-
-
-def whole_texts(rows, key, column, separator):
-    """Parts of each key put together again."""
-    found = {}
-    for r in sorted(rows.collect(), key=lambda r: (r[key], r.part)):
-        found.setdefault(r[key], []).append(r[column])
-    return {k: separator.join(parts) for k, parts in found.items()}
-
-
-def test_ordered_text_cuts_only_large_groups(spark):
-    """One key holds a third of all rows; its parts are the whole text, in order."""
-    rows = spark.range(9000).selectExpr(
-        "case when id % 3 = 0 then 'hot' else cast(id % 500 as string) end as key",
-        "lpad(cast(id * 7919 % 9000 as string), 6, '0') as seq",
-        "cast(id as string) as name",
-    )
-    expected = {}
-    for r in sorted(rows.collect(), key=lambda r: r.seq):
-        expected.setdefault(r.key, []).append(r.name)
-    for descending in (False, True):
-        got = ordered_text(
-            rows, "key", F.col("seq"), {"name": F.col("name")},
-            separator=",", descending=descending, rows_per_part=100,
-        ).cache()
-        parts = {r.key: r.n for r in got.groupBy("key").agg(F.count("*").alias("n")).collect()}
-        assert parts.pop("hot") >= 30 and set(parts.values()) == {1}
-        assert got.agg(F.max(F.size(F.split("name", ",")))).first()[0] <= 100
-        step = -1 if descending else 1
-        assert whole_texts(got, "key", "name", ",") == {
-            k: ",".join(v[::step]) for k, v in expected.items()
-        }
-        got.unpersist()

@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from trenchbook import config
 from trenchbook.functions.joins import left_join_spread
 from trenchbook.operators import chronology, contexts, relations, rollup
+from trenchbook.plans.queries import QUERIES as OWN
 from trenchbook.plans.queries import site
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = contract.queries()
+QUERIES = {name: contract.queries()[name] for name in OWN}
 
 
 def plan(rows) -> str:
@@ -83,14 +85,24 @@ def test_hot_parent_is_split(spark, small_partitions):
 
 def test_hot_parent_rolls_up_whole(spark):
     _, pottery = hot_site(spark)
-    rolled = rollup.rollup_context(pottery, ["n"], rows_per_part=1000)
+    rolled = rollup.rollup_context(pottery, ["n"])
     hot = rolled.filter("Context_UUID = 'C7'").first()
-    # The long list of bags is null here and whole in its parts.
-    assert hot["n"] == 10000 + 10 * (7 % 3 == 1) and hot["Identifier"] is None
-    ids = rollup.concat_ids(pottery, rollup.context_key(), 1000).filter("key = 'C7'")
-    parts = [r.Identifier.split("\\n") for r in ids.orderBy("part").collect()]
-    whole = [int(i) for part in parts for i in part]
-    assert whole == sorted(whole) and len(whole) == hot["n"] and max(map(len, parts)) <= 1000
+    assert hot["n"] == 10000 + 10 * (7 % 3 == 1)
+    ids = rollup.concat_ids(pottery, rollup.context_key()).filter("key = 'C7'")
+    whole = [int(r.Identifier) for r in ids.orderBy("seq").collect()]
+    assert whole == sorted(whole) and len(whole) == hot["n"]
+
+
+def test_lists_do_not_depend_on_partitions(spark, cells):
+    _, pottery = hot_site(spark)
+    levels = chronology.bag_levels(pottery.withColumns({c: F.col("Identifier") for c in config.NOTE_COLUMNS}))
+    expected = None
+    for partitions in ("1", "7", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = cells(rollup.concat_ids(pottery, rollup.context_key())), cells(chronology.bag_notes(levels))
+        expected = expected or got
+        assert got == expected
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_rows_without_key_are_spread(spark):

@@ -146,7 +146,6 @@ NOTE_COLUMNS = {
     "PotteryWear": "PotteryWear",
     "PotteryBurning": "PotteryBurning",
 }
-NOTE_SEPARATOR = " --- "
 
 # Find class -> words looked for in the lower-cased title; the first class that hits wins.
 FIND_CLASSES = {
@@ -205,15 +204,4 @@ SAMPLE_TITLES = [
     "soil chemistry",
 ]
 
-FIND_TITLES = [
-    "metals and metallurgical", "worked stone", "stone disc", "marble figurine",
-    "stone vessel", "spool", "Kouphonisi limestone pebble", "unworked imported stone",
-    "worked bone", "worked shell", "bead", "obsidian", "architectural element",
-    "spindle whorl", "worked sherd", "metallurgical ceramic", "matt impression",
-    "other ceramic", "ERROR", "Discarded During Study Season",
-]
-
 # End of fixed values.
-
-# Bags whose text is joined into one cell; a larger group continues in further parts.
-ROWS_PER_PART = 10_000

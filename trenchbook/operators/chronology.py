@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trenchbook import config
-from trenchbook.functions.parts import ordered_text
 from trenchbook.functions.text import is_asu, phase_flag, phase_slot
 from trenchbook.operators.contexts import contexts_only
 
@@ -64,57 +63,33 @@ def phase_flags(levels: DataFrame) -> DataFrame:
     return flags.withColumn("Period", period())
 
 
-def bag_notes(levels: DataFrame, rows_per_part: int = config.ROWS_PER_PART) -> DataFrame:
-    """Notes of each target's bags, last bag first, each followed by the separator: (target, part, …)."""
-    separator = config.NOTE_SEPARATOR
-    return ordered_text(
-        levels,
-        "target",
-        F.col("seq"),
-        {note: F.col(column) for column, note in config.NOTE_COLUMNS.items()},
-        separator=separator,
-        closing=separator,
-        descending=True,
-        rows_per_part=rows_per_part,
-    )
+def bag_notes(levels: DataFrame) -> DataFrame:
+    """Notes of each target's bags, one row per bag: (target, seq, …); the last bag comes first.
 
+    A target has the same form whatever its number of bags, and no shuffle makes it.
+    """
+    notes = [F.coalesce(column, F.lit("")).alias(note) for column, note in config.NOTE_COLUMNS.items()]
+    return levels.select("target", "seq", *notes)
 
-def phases(
-    geo: DataFrame, levels: DataFrame, rows_per_part: int = config.ROWS_PER_PART
-) -> DataFrame:
-    """Rows of the geo table with flags, period and notes.
 
-    A row without bags has 'no' in every slot, and empty notes. Notes of a target
-    with more than ``rows_per_part`` bags do not fit one cell: they are null
-    here and whole in ``bag_notes``.
-    """
-    notes = list(config.NOTE_COLUMNS.values())
-    whole = bag_notes(levels, rows_per_part).filter(F.col("part") == 0).drop("part")
-    flags = phase_flags(levels).withColumn("has_bags", F.lit(True))
-    found = flags.join(whole, "target", "left").withColumnRenamed("target", "IdentifierUUID")
-    none = F.col("has_bags").isNull()
+def phases(geo: DataFrame, levels: DataFrame) -> DataFrame:
+    """Rows of the geo table with flags and period; a row without bags has 'no' in each. The notes are in ``bag_notes``."""
+    found = phase_flags(levels).withColumnRenamed("target", "IdentifierUUID")
     return (
         geo.join(found, "IdentifierUUID", "left")
         .withColumns({f"{s}": F.coalesce(F.col(f"`{s}`"), F.lit("no")) for s in [*SLOTS, "Period"]})
-        .withColumns({n: F.when(none, F.lit("")).otherwise(F.col(n)) for n in notes})
-        .select(
-            *[f"`{c}`" for c in geo.columns], *[f"`{s}`" for s in SLOTS], "Period", *notes
-        )
+        .select(*[f"`{c}`" for c in geo.columns], *[f"`{s}`" for s in SLOTS], "Period")
     )
 
 
-def phases_context_asu(
-    geo: DataFrame, pottery: DataFrame, rows_per_part: int = config.ROWS_PER_PART
-) -> DataFrame:
+def phases_context_asu(geo: DataFrame, pottery: DataFrame) -> DataFrame:
     """Phases of every context, its ASUs' bags included, and of every ASU."""
-    return phases(geo, bag_levels(pottery), rows_per_part)
+    return phases(geo, bag_levels(pottery))
 
 
-def phases_context(
-    geo: DataFrame, pottery: DataFrame, rows_per_part: int = config.ROWS_PER_PART
-) -> DataFrame:
-    """Phases of every context."""
-    return phases(contexts_only(geo), context_level(pottery), rows_per_part)
+def phases_context(phased: DataFrame) -> DataFrame:
+    """Phases of every context, from those of contexts and ASUs: a context has the same bags in both."""
+    return contexts_only(phased)
 
 
 def _count_columns(rolled: DataFrame, key: Column) -> DataFrame:
@@ -126,7 +101,7 @@ def _count_columns(rolled: DataFrame, key: Column) -> DataFrame:
 
 
 # Rollup columns that the phase table has too; they get the prefix Pottery_.
-SHARED = ["Source", "Context_UUID", "ASU_UUID", "Identifier"]
+SHARED = ["Source", "Context_UUID", "ASU_UUID"]
 
 
 def counts_context_asu(phased: DataFrame, rolled: DataFrame) -> DataFrame:

@@ -147,7 +147,7 @@ def null_geometry_counts(rows: DataFrame) -> DataFrame:
 
 def layer_phase_pottery(counted: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Layer of contexts with phases and pottery counts."""
-    phase_columns = [*config.PHASE_SLOTS, "Other", "Period", *config.NOTE_COLUMNS.values()]
+    phase_columns = [*config.PHASE_SLOTS, "Other", "Period"]
     return layer(
         counted,
         columns

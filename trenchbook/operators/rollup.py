@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trenchbook import config
-from trenchbook.functions.parts import ordered_text
 from trenchbook.functions.text import is_bad_number, whole_number
 from trenchbook.operators.contexts import asu_contexts
 
@@ -55,53 +54,36 @@ def first_labels(pottery: DataFrame, key: Column) -> DataFrame:
     )
 
 
-def concat_ids(
-    pottery: DataFrame, key: Column, rows_per_part: int = config.ROWS_PER_PART
-) -> DataFrame:
-    """Bag identifiers of each key in order: (key, part, Identifier)."""
-    return ordered_text(
-        pottery.withColumn("key", key),
-        "key",
-        F.col("seq"),
-        {"Identifier": F.col("Identifier")},
-        separator=config.RELATION_SEPARATOR,
-        rows_per_part=rows_per_part,
-    )
+def concat_ids(pottery: DataFrame, key: Column) -> DataFrame:
+    """Bag identifiers of each key, one row per bag: (key, seq, Identifier), in the order of seq.
 
+    A list has the same form whatever its length, and no shuffle makes it.
+    """
+    return _keyed(pottery, key).select("key", "seq", F.coalesce("Identifier", F.lit("")).alias("Identifier"))
 
-def _rolled(
-    pottery: DataFrame, key: Column, columns: list[str], rows_per_part: int
-) -> DataFrame:
-    """Sums, labels and identifiers side by side.
 
-    The text columns are kept out of the wide aggregate, which would turn it from
-    hashing to sorting. All three are partitioned by key, so joining them moves nothing.
-    Identifiers of a group beyond ``rows_per_part`` are null here; ``concat_ids`` has them.
+def _rolled(pottery: DataFrame, key: Column, columns: list[str]) -> DataFrame:
+    """Sums and labels side by side.
+
+    The labels are kept out of the wide aggregate, which they would turn from
+    hashing to sorting. Both are partitioned by key, so joining them moves nothing.
     """
-    ids = concat_ids(pottery, key, rows_per_part).filter(F.col("part") == 0)
-    return (
-        int_sums(pottery, key, columns)
-        .join(first_labels(pottery, key), "key")
-        .join(ids.select("key", "Identifier"), "key", "left")
-    )
+    return int_sums(pottery, key, columns).join(first_labels(pottery, key), "key")
 
 
 def rollup_context_asu(
-    pottery: DataFrame,
-    master: DataFrame,
-    columns: list[str] | None = None,
-    rows_per_part: int = config.ROWS_PER_PART,
+    pottery: DataFrame, master: DataFrame, columns: list[str] | None = None
 ) -> DataFrame:
     """Bags of an ASU summed to the ASU, other bags to their context.
 
-    The context of an ASU comes from the context table.
+    The context of an ASU comes from the context table. The bags themselves are in ``concat_ids``.
     """
     columns = columns or config.SUMMED_COLUMNS
     at_asu = F.col("key.at_asu")
     context = F.when(at_asu, F.col("asu_context")).otherwise(F.col("key.uuid"))
     asus = asu_contexts(master).withColumnRenamed("ASU_UUID", "asu")
     return (
-        _rolled(pottery, own_level_key(), columns, rows_per_part)
+        _rolled(pottery, own_level_key(), columns)
         .join(asus, (F.col("key.uuid") == F.col("asu")) & at_asu, "left")
         .select(
             "Source",
@@ -109,25 +91,19 @@ def rollup_context_asu(
             *columns,
             context.alias("Context_UUID"),
             F.when(at_asu, F.col("key.uuid")).alias("ASU_UUID"),
-            "Identifier",
         )
     )
 
 
-def rollup_context(
-    pottery: DataFrame,
-    columns: list[str] | None = None,
-    rows_per_part: int = config.ROWS_PER_PART,
-) -> DataFrame:
+def rollup_context(pottery: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """All bags summed to their context, those of its ASUs included."""
     columns = columns or config.SUMMED_COLUMNS
-    return _rolled(pottery, context_key(), columns, rows_per_part).select(
+    return _rolled(pottery, context_key(), columns).select(
         "Source",
         "ContextID",
         *columns,
         F.col("key").alias("Context_UUID"),
         F.lit(None).cast("string").alias("ASU_UUID"),
-        "Identifier",
     )
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trenchbook import config
+
 CONTEXT = """
 select 'T' || cast(o_custkey % 20 as string) as Source,
        case o_orderkey % 4 when 0 then 'FillDeposit' when 1 then 'Cut'
@@ -86,7 +88,7 @@ select 'T' || cast(o_custkey % 20 as string) as Source,
             when 7 then 'X-1' || chr(92) || 'n' || 'P-' || cast(o_orderkey as string)
             else 'C-' || cast(o_orderkey as string) end as RelationBelongsToUUID,
        'S-' || cast(o_orderkey as string) as seq
-from {orders} where o_orderkey % 3 = 0
+from {orders}
 """
 
 FIND = """
@@ -103,7 +105,7 @@ select 'T' || cast(l_suppkey % 20 as string) as Source,
             else 'C-' || cast(l_orderkey as string) end as RelationBelongsToUUID,
        'F-' || cast(l_orderkey as string) || '-' || cast(l_partkey as string) || '-' || cast(l_suppkey as string)
             || '-' || cast(l_linenumber as string) as seq
-from {lineitem} where l_returnflag = 'R'
+from {lineitem}
 """
 
 # A few bag keys repeat; their seq still differs.
@@ -143,7 +145,7 @@ select 'T' || cast(l_suppkey % 20 as string) as Source,
        case when l_partkey % 97 = 0 then 'n/a' when l_partkey % 53 = 0 then ''
             when l_partkey % 31 = 0 then null else cast(l_quantity as string) end as PotteryCountBeforeMending,
        cast(l_extendedprice as string) as PotteryWeightBeforeMending,
-       'P-' || cast(l_orderkey as string) || '-' || cast(l_partkey as string) || '-' || cast(l_suppkey as string)
+{more}       'P-' || cast(l_orderkey as string) || '-' || cast(l_partkey as string) || '-' || cast(l_suppkey as string)
             || '-' || cast(l_linenumber as string) || '/' || cast(l_extendedprice as string) as seq
 from {lineitem}
 """
@@ -163,16 +165,16 @@ FLOTATION = """
 select 'W-' || cast(o_orderkey as string) as IdentifierUUID,
        'S-' || cast(o_orderkey as string) as RelationBelongsToUUID,
        'W-' || cast(o_orderkey as string) as seq
-from {orders} where o_orderkey % 7 = 0 or o_orderkey % 10 = 6
+from {orders}
 """
 
 JOIN = """
 select 'J-' || cast(event_id as string) as IdentifierUUID,
        case when event_id % 5 = 0 then null
-            when event_id % 3 = 0 then 'S-' || cast(3 * user_id as string)
-            else 'S-' || cast(3 * user_id as string) || chr(92) || 'n' || 'X-1' end as RelationIncludesUUID,
+            when event_id % 3 = 0 then 'S-' || cast(user_id as string)
+            else 'S-' || cast(user_id as string) || chr(92) || 'n' || 'X-1' end as RelationIncludesUUID,
        'J-' || cast(event_id as string) as seq
-from {events} where event_type = 'purchase'
+from {events}
 """
 
 # Export file names, one per context: with and without a schema, plain and stripped.
@@ -186,11 +188,12 @@ from {orders}
 """
 
 
-# Summed columns the bag table carries; unit tests cover the full list.
-COUNTS = [
-    "PotteryCountFine", "PotteryCountMedium", "PotteryCountCoarse", "PotteryWeightCoarse",
-    "PotteryCountBeforeMending", "PotteryWeightBeforeMending",
-]
+# Every summed column; those that BAG doesn't spell out take digits of the part's key.
+COUNTS = config.SUMMED_COLUMNS
+_plain = [c for c in COUNTS if f" as {c}," not in BAG]
+BAG = BAG.replace(
+    "{more}", "".join(f"       cast((l_partkey + {i}) % 7 as string) as {c},\n" for i, c in enumerate(_plain))
+)
 
 
 def view_sql(name: str) -> str:

@@ -91,17 +91,13 @@ def _flags(levels: str) -> str:
 
 
 def _noted(levels: str) -> str:
-    texts = ", ".join(
-        f"string_agg(coalesce({c}, ''), ' --- ' order by seq desc) || ' --- ' as {n}" for c, n in NOTES
-    )
-    return f"select target, cast(0 as bigint) as part, {texts} from {levels} group by target"
+    texts = ", ".join(f"coalesce({c}, '') as {n}" for c, n in NOTES)
+    return f"select target, seq, {texts} from {levels}"
 
 
-def _phases(geo: str, flags: str, notes: str) -> str:
+def _phases(geo: str, flags: str) -> str:
     flag_items = ", ".join(f"coalesce(f.\"{s}\", 'no') as \"{s}\"" for s in [*SLOTS, "Period"])
-    note_items = ", ".join(f"coalesce(n.{n}, '') as {n}" for _, n in NOTES)
-    return f"""select g.*, {flag_items}, {note_items} from {geo} g
-    left join {flags} f on g.IdentifierUUID = f.target left join {notes} n on g.IdentifierUUID = n.target"""
+    return f"select g.*, {flag_items} from {geo} g left join {flags} f on g.IdentifierUUID = f.target"
 
 
 def _finds(geo: str, levels: str) -> str:
@@ -120,8 +116,7 @@ def _levels(table: str) -> str:
 def _rolled(key: str) -> str:
     sums = ", ".join(f"cast(coalesce(sum({WHOLE.format(c)}), 0) as bigint) as {c}" for c in COUNTS)
     return f"""select {key} as key, arg_min(coalesce(Source, chr(0)), seq) as Source,
-        nullif(arg_min(coalesce(ContextID, chr(0)), seq), chr(0)) as ContextID, {sums},
-        string_agg(Identifier, chr(92) || 'n' order by seq) as Identifier
+        nullif(arg_min(coalesce(ContextID, chr(0)), seq), chr(0)) as ContextID, {sums}
     from pottery where {key} is not null group by 1"""
 
 
@@ -238,12 +233,11 @@ PARTS = {
     "flags": _flags("levels"),
     "context_flags": _flags("context_levels"),
     "notes": _noted("levels"),
-    "context_notes": _noted("context_levels"),
     "rolled_own": _rolled("coalesce(ASU_UUID, Context_UUID)"),
     "rolled_context": _rolled("Context_UUID"),
     "rolled_asu": f"""select r.Source, r.ContextID, {", ".join("r." + c for c in COUNTS)},
         case when a.key is not null then m.Context_UUID else r.key end as Context_UUID,
-        a.key as ASU_UUID, r.Identifier
+        a.key as ASU_UUID
         from rolled_own r
         left join (select distinct ASU_UUID as key from pottery where ASU_UUID is not null) a on a.key = r.key
         left join (select IdentifierUUID, Context_UUID from master where {ASU}) m on m.IdentifierUUID = a.key""",
@@ -281,8 +275,8 @@ PARTS = {
         left join (select seq, count(*) as polygons from top_two group by seq) n using (seq)
         where m.CoverageXYZ is not null""",
     "ranked": """select *, row_number() over (partition by IdentifierUUID order by seq) as rn from again""",
-    "phased": _phases("placed", "flags", "notes"),
-    "context_phased": _phases(f"(select * from placed where not {ASU})", "context_flags", "context_notes"),
+    "phased": _phases("placed", "flags"),
+    "context_phased": _phases(f"(select * from placed where not {ASU})", "context_flags"),
     "found_asu": _finds("placed", f"({_levels('finds')})"),
     "found_context": _finds(
         f"(select * from placed where not {ASU})",
@@ -402,14 +396,15 @@ SQL = {
         left join (select *, row_number() over (partition by SampleBag_UUID order by seq desc) as rn
                    from pottery where SampleBag_UUID is not null) s
         on s.SampleBag_UUID = e.parent and s.rn = 1""",
-    "rollup_context_asu": f"""select Source, ContextID, {_counts}, Context_UUID, ASU_UUID, Identifier
+    "rollup_context_asu": f"""select Source, ContextID, {_counts}, Context_UUID, ASU_UUID
         from rolled_asu""",
     "rollup_context": f"""select Source, ContextID, {_counts}, key as Context_UUID,
-        cast(null as varchar) as ASU_UUID, Identifier from rolled_context""",
+        cast(null as varchar) as ASU_UUID from rolled_context""",
     "int_sum": "select Source as key, " + ", ".join(
         f"cast(coalesce(sum({WHOLE.format(c)}), 0) as bigint) as {c}" for c in COUNTS
     ) + " from t_bag group by 1",
-    "concat_ids": "select key, cast(0 as bigint) as part, Identifier from rolled_context",
+    "concat_ids": "select Context_UUID as key, seq, coalesce(Identifier, '') as Identifier from pottery "
+    "where Context_UUID is not null",
     "first_labels": "select key, Source, ContextID from rolled_context",
     "bad_numbers": " union all ".join(
         f"""select Source, ContextID, Identifier, '{c}' as "column", {c} as value from t_bag
@@ -432,13 +427,13 @@ SQL = {
     "bag_notes": "select * from notes",
     "phases_context_asu": "select * exclude (seq) from phased",
     "phases_context": "select * exclude (seq) from context_phased",
-    "counts_context_asu": f"""select p.IdentifierUUID, Type, Period, Kastri, r.ContextID, {_counts},
-        r.Source as Pottery_Source, r.Context_UUID as Pottery_Context_UUID, r.ASU_UUID as Pottery_ASU_UUID,
-        r.Identifier as Pottery_Identifier from phased p join rolled_asu r
+    "counts_context_asu": f"""select p.IdentifierUUID, Type, Period, r.ContextID, {_counts},
+        r.Source as Pottery_Source, r.Context_UUID as Pottery_Context_UUID, r.ASU_UUID as Pottery_ASU_UUID
+        from phased p join rolled_asu r
         on ({ASU} and p.IdentifierUUID = r.ASU_UUID)
         or (not {ASU} and r.ASU_UUID is null and p.IdentifierUUID = r.Context_UUID)""",
-    "counts_context": f"""select p.IdentifierUUID, Type, Period, Kastri, r.ContextID, {_counts},
-        r.Source as Pottery_Source, r.key as Pottery_Context_UUID, r.Identifier as Pottery_Identifier
+    "counts_context": f"""select p.IdentifierUUID, Type, Period, r.ContextID, {_counts},
+        r.Source as Pottery_Source, r.key as Pottery_Context_UUID
         from context_phased p join rolled_context r on p.IdentifierUUID = r.key""",
     "no_counts": f"""select Source, Identifier, IdentifierUUID from master
         where case when {ASU} then IdentifierUUID not in (select ASU_UUID from rolled_asu where ASU_UUID is not null)
@@ -470,7 +465,7 @@ SQL = {
         union all select Source, Type, "Sub-Type", Identifier, IdentifierUUID, 'close', closing
         from placed where closing is not null""",
     "layer_phase_pottery": f"""select p.Source, Type, "Sub-Type", p.Identifier, Title, Description, p.IdentifierUUID,
-        {", ".join(f'"{s}"' for s in SLOTS)}, Period, {", ".join(n for _, n in NOTES)}, r.ContextID, {_counts},
+        {", ".join(f'"{s}"' for s in SLOTS)}, Period, r.ContextID, {_counts},
         p.Context_UUID, opening as wkt
         from context_phased p join rolled_context r on p.IdentifierUUID = r.key where opening is not null""",
     "layer_sf_summary": f"""select Source, Type, "Sub-Type", Identifier, Title, Description, IdentifierUUID,

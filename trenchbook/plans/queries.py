@@ -138,7 +138,7 @@ class Site:
         return self.stages.table("phased_asu", self.make_phased_asu)
 
     def make_phased(self) -> DataFrame:
-        return chronology.phases_context(self.geo(), self.pottery())
+        return chronology.phases_context(self.phased_asu())
 
     def phased(self) -> DataFrame:
         return self.stages.table("phased", self.make_phased)
@@ -316,12 +316,12 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "phases_context": lambda s: s.make_phased().drop("seq"),
     "counts_context_asu": lambda s: chronology.counts_context_asu(
         s.phased_asu(), s.rolled_asu()
-    ).select("IdentifierUUID", "Type", "Period", "Kastri", "ContextID", *COUNTS,
-             "Pottery_Source", "Pottery_Context_UUID", "Pottery_ASU_UUID", "Pottery_Identifier"),
+    ).select("IdentifierUUID", "Type", "Period", "ContextID", *COUNTS,
+             "Pottery_Source", "Pottery_Context_UUID", "Pottery_ASU_UUID"),
     "counts_context": lambda s: chronology.counts_context(
         s.phased(), s.rolled()
-    ).select("IdentifierUUID", "Type", "Period", "Kastri", "ContextID", *COUNTS,
-             "Pottery_Source", "Pottery_Context_UUID", "Pottery_Identifier"),
+    ).select("IdentifierUUID", "Type", "Period", "ContextID", *COUNTS,
+             "Pottery_Source", "Pottery_Context_UUID"),
     "no_counts": lambda s: chronology.no_counts(
         s.geo(), s.rolled_asu(), "Source", "Identifier", "IdentifierUUID"
     ),
@@ -358,8 +358,7 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "polygon_features": lambda s: geo.polygon_features(s.geo()),
     "layer_phase_pottery": lambda s: geo.layer_phase_pottery(
         chronology.counts_context(s.phased(), s.rolled()),
-        [*config.LAYER_COLUMNS, *chronology.SLOTS, "Period", *config.NOTE_COLUMNS.values(),
-         "ContextID", *COUNTS, "Context_UUID"],
+        [*config.LAYER_COLUMNS, *chronology.SLOTS, "Period", "ContextID", *COUNTS, "Context_UUID"],
     ),
     "layer_sf_summary": lambda s: geo.layer_find_summary(
         finds.finds_context(contexts.contexts_only(s.geo()), s.finds())

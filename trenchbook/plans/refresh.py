@@ -43,7 +43,6 @@ class Refresh:
     schema_folder: str
     out: str
     summed_columns: list[str] = field(default_factory=lambda: list(config.SUMMED_COLUMNS))
-    rows_per_part: int = config.ROWS_PER_PART
 
     def __post_init__(self) -> None:
         self.tables = Stages(self.spark, f"{self.out}/tables")
@@ -161,13 +160,11 @@ class Refresh:
         self.issues["pottery_no_keys"] = relations.pottery_no_keys(pottery, *bag)
         rolled_asu = tables.table(
             "pottery_by_context_asu",
-            lambda: rollup.rollup_context_asu(
-                pottery, master, self.summed_columns, self.rows_per_part
-            ),
+            lambda: rollup.rollup_context_asu(pottery, master, self.summed_columns),
         )
         rolled = tables.table(
             "pottery_by_context",
-            lambda: rollup.rollup_context(pottery, self.summed_columns, self.rows_per_part),
+            lambda: rollup.rollup_context(pottery, self.summed_columns),
         )
         self.issues["bad_numbers"] = rollup.bad_numbers(pottery, self.summed_columns)
         self.issues["not_rolled_up"] = rollup.not_rolled_up(pottery, *bag)
@@ -175,7 +172,7 @@ class Refresh:
             pottery, {"context_asu": rolled_asu, "context": rolled}
         )
         for name, key in (("context_asu", rollup.own_level_key()), ("context", rollup.context_key())):
-            ids = rollup.concat_ids(pottery, key, self.rows_per_part)
+            ids = rollup.concat_ids(pottery, key)
             publish.write_table(ids, f"{self.out}/tables/bag_ids_by_{name}")
         photo_schema = self.schema(config.PUBLISHED_TABLES["photo"])
         added = [n for n in photo_schema.names if n not in self.schema("photo.json").names]
@@ -205,16 +202,15 @@ class Refresh:
         self.issues["layer_null_geometry"] = geo.null_geometry_counts(only)
         publish.write_table(geo.polygon_features(placed), f"{self.out}/layers/all_contexts")
 
-        size = self.rows_per_part
         rolled_asu = tables.get("pottery_by_context_asu")
         rolled = tables.get("pottery_by_context")
         phased_asu = tables.table(
-            "phases_context_asu", lambda: chronology.phases_context_asu(placed, pottery, size)
+            "phases_context_asu", lambda: chronology.phases_context_asu(placed, pottery)
         )
         phased = tables.table(
-            "phases_context", lambda: chronology.phases_context(placed, pottery, size)
+            "phases_context", lambda: chronology.phases_context(phased_asu)
         )
-        notes = chronology.bag_notes(chronology.bag_levels(pottery), size)
+        notes = chronology.bag_notes(chronology.bag_levels(pottery))
         publish.write_table(notes, f"{self.out}/tables/bag_notes")
         tables.table(
             "counts_context_asu", lambda: chronology.counts_context_asu(phased_asu, rolled_asu)
