@@ -245,3 +245,20 @@ def test_a_later_write_replaces_the_first(spark, tmp_path):
     for n in (5, 3):
         publish.write_table(spark.range(n).toDF("id"), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_names_with_brackets_are_literal(spark, tmp_path):
+    for name in ("Trench [A] Cuts.tab", "Trench {B}* Cuts.tab"):
+        (tmp_path / name).write_text("Source|Identifier\n?|one\n")
+    paths = [str(p) for p in sorted(tmp_path.iterdir())]
+    found = exports.survey_files(spark, paths, "|")
+    assert [r.header for r in found.collect()] == [["Source", "Identifier"]] * 2
+    rows = exports.scan_exports(spark, paths, ["Source", "Identifier"], "|")
+    assert [r.Identifier for r in rows.collect()] == ["one"] * 2
+
+
+def test_sorted_lists_are_sorted(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("cast(id * 7919 % 2000 as string) as a", "id as b").repartition(7)
+    publish.write_sorted(rows, str(tmp_path / "list"), "a")
+    values = [r.a for f in sorted((tmp_path / "list").glob("part-*")) for r in spark.read.parquet(str(f)).collect()]
+    assert values == sorted(values) and len(values) == 2000

@@ -34,6 +34,10 @@ REPORTED_FROM = {
 }
 
 
+# Lists that are read from top to bottom, and what they are sorted by.
+SORTED_ISSUES = {"polygons": ["reason", "Source", "Type", "Sub-Type", "Identifier"]}
+
+
 @dataclass
 class Refresh:
     """One rebuild of a site."""
@@ -57,7 +61,10 @@ class Refresh:
         self.flatten()
         self.map_and_publish()
         for name, rows in self.issues.items():
-            publish.write_table(rows, f"{self.out}/issues/{name}")
+            if name in SORTED_ISSUES:
+                publish.write_sorted(rows, f"{self.out}/issues/{name}", *SORTED_ISSUES[name])
+            else:
+                publish.write_table(rows, f"{self.out}/issues/{name}")
 
     # Assemble: route, strip, unite, check.
 
@@ -196,7 +203,7 @@ class Refresh:
         only = geo.geo_contexts_only(placed)
         self.issues["polygons"] = geo.polygon_issues(
             master, "Source", "Type", "Sub-Type", "Identifier"
-        ).orderBy("reason", "Source", "Type", "Sub-Type", "Identifier")
+        )
         self.issues["asu_without_context_row"] = geo.asu_without_context_row(placed)
         self.issues["bad_wkt"] = geo.bad_wkt(placed, "CoverageXYZ", "Source", "Identifier")
         self.issues["layer_null_geometry"] = geo.null_geometry_counts(only)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -57,30 +58,33 @@ def survey_files(spark: SparkSession, paths: list[str] | str, separator: str = "
 
     ``spans_lines`` is true when some line holds an odd number of quotes, so that a
     record may go on in the next line. Only such files have to be read by one task each;
-    a file without them is split, however large it is. Both scans see the same
-    splits, so a line has the same number in both; the aggregate carries numbers only.
+    a file without them is split, however large it is. One scan and one aggregate, which keeps a row
+    per task and file: no text is shuffled but the headers.
     """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
-        .text(paths)
+        .text(literal_paths(paths))
         .select(
             "value",
             _decoded("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
+            F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("line"),
         )
-        .withColumn("line", F.monotonically_increasing_id())
     )
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     files = lines.groupBy("path").agg(
-        F.min(F.when(F.col("block") == 0, F.col("line"))).alias("line"),
-        (F.max(quotes % 2) == 1).alias("spans_lines"),
+        F.min_by("value", "line").alias("first"), (F.max(quotes % 2) == 1).alias("spans_lines")
     )
-    clean = F.regexp_replace("value", "[\\uFEFF\\r\"]", "")
-    return lines.join(files, ["path", "line"]).select(
-        "path", F.split(clean, separator).alias("header"), "spans_lines"
+    clean = F.regexp_replace("first", "[\\uFEFF\\r\"]", "")
+    return files.where("first is not null").select(
+        "path", F.split(clean, f"\\Q{separator}\\E").alias("header"), "spans_lines"
     )
 
 
+def literal_paths(paths: str | list[str]) -> list[str]:
+    """Paths that readers take as they are, whatever brackets or stars a file name holds."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in ([paths] if isinstance(paths, str) else paths)]
+
+
 def scan_exports(
     spark: SparkSession,
     paths: str | list[str],
@@ -106,7 +110,7 @@ def scan_exports(
             enforceSchema=False,
         )
         .schema(schema)
-        .csv(paths)
+        .csv(literal_paths(paths))
     )
     return rows.select(
         *[blank_to_null(F.col(f"`{c}`")).alias(c) for c in columns],

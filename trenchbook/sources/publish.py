@@ -64,6 +64,11 @@ def write_table(rows: DataFrame, path: str) -> None:
     rows.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
+def write_sorted(rows: DataFrame, path: str, *columns: str) -> None:
+    """Write as parquet in the order of the columns, from file to file and within each."""
+    rows.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+
+
 def publish_reports(
     tables: dict[str, DataFrame], schemas: dict[str, TableSchema], folder: str, one_file: bool = False
 ) -> None:
