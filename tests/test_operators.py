@@ -226,10 +226,19 @@ def test_geo_and_issues(frame, cells):
 
 def test_bad_wkt(frame, cells):
     good = "POLYGON Z ((0 0 5, 2 0 5, 2 2 5, 0 0 5))"
+    fine = "POLYGON ((0 0, 1.2E-5 1, 1 1, 0 0))"
     bad = ["POLYGON ((0 0, 1 1, 0 0))", "POLYGON ((0 0, a 1, 1 1, 0 0))",
-           "POLYGON ((0 0, 3 0, 3 3, 0 0), (1 1, 2 1, 2 2, 1 1))"]
-    rows = frame("w", (f"GEOMETRYCOLLECTION({good}, {', '.join(bad)})",), (good,))
-    assert cells(geo.bad_wkt(rows, "w")) == sorted((b,) for b in bad)
+           "POLYGON ((0 0, 3 0, 3 3, 0 0), (1 1, 2 1, 2 2, 1 1))",
+           "POLYGON Z ((0 0 9, 8 X 9, 8 8 9, 0 0 9))", "POLYGON ((0 0, NaN 1, 1 1, 0 0))",
+           "POLYGON ((0 0, 1d 1, 1 1, 0 0))", "POLYGON ((0 0, 1e999 1, 1 1, 0 0))",
+           "POLYGON ((0 0, 3 0, 3 3, 0 1))", "POLYGON ((0 0, 3 0 1, 3 3, 0 0))", "POLYGON M ((0 0 1, 1 0 1, 1 1 1, 0 0 1))",
+           "POLYGON EMPTY"]
+    rows = frame("w", (f"GEOMETRYCOLLECTION({good}, {', '.join(bad[:6])}, {fine}, {', '.join(bad[6:])})",), (good,))
+    got = [w.strip(", )") if "EMPTY" in w else w for (w,) in cells(geo.bad_wkt(rows, "w"))]
+    assert sorted(got) == sorted(bad)
+    measured = {r.wkt for r in geo.split_collection(rows.withColumn("CoverageXYZ", F.col("w"))).collect() if r.area is not None}
+    holed = "POLYGON ((0 0, 3 0, 3 3, 0 0))"
+    assert measured == {good, fine, holed, bad[0], "POLYGON ((0 0, 3 0, 3 3, 0 1))"}
 
 
 SCHEMA = TableSchema(
@@ -281,7 +290,19 @@ def test_publish(frame, cells):
     )
     loaded = publish.publish_table(rows, SCHEMA)
     assert cells(loaded, "Source", "Count", "IdentifierUUID") == [("T1", 3.5, "U1"), ("T4", 7.0, "U4")]
-    assert cells(publish.publish_rejects(rows, "IdentifierUUID", "Source")) == [
-        ("T2", "key loaded before"), ("T3", "no key"),
+    assert cells(publish.publish_rejects(rows, SCHEMA, ["Source"]), "Source", "reason", "column", "value") == [
+        ("T2", "not a number", "Count", "x"), ("T3", "no key", None, None),
     ]
-    assert cells(publish.load_counts(rows)) == [(2, 2)]
+    assert cells(publish.load_counts(rows, SCHEMA)) == [(2, 2)]
+
+
+def test_a_copy_loads_where_the_first_row_does_not(frame, cells):
+    rows = frame(
+        "Source Type Identifier Title Count Date IdentifierUUID",
+        ("T1", "Bag", "1", "bone", "1d", None, "U1"), ("T2", "Bag", "2", "bone", "2", None, "U1"),
+        ("T3", "Bag", "3", "bone", "3", None, "U1"), ("T4", "Bag", "4", "bone", "NaN", None, "U2"),
+    )
+    assert cells(publish.publish_table(rows, SCHEMA), "Source", "Count") == [("T2", 2.0)]
+    assert cells(publish.publish_rejects(rows, SCHEMA, ["Source"]), "Source", "reason") == [
+        ("T1", "not a number"), ("T3", "key loaded before"), ("T4", "not a number")]
+    assert cells(publish.load_counts(rows, SCHEMA)) == [(1, 3)]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trenchbook import config
-from trenchbook.plans.refresh import refresh
+from trenchbook.plans.refresh import current, refresh
 from trenchbook.sources import exports, publish
 from trenchbook.sources.schema import load_columns, load_routing, load_schema
 
@@ -115,7 +115,8 @@ def site(tmp_path_factory):
 def built(spark, site, schemas, tmp_path_factory):
     out = tmp_path_factory.mktemp("out")
     refresh(spark, str(site), str(schemas), str(out))
-    return lambda name: spark.read.parquet(f"{out}/{name}"), out
+    made = current(spark, str(out))
+    return lambda name: spark.read.parquet(f"{made}/{name}"), made
 
 
 def test_schema_files(schemas, tmp_path):
@@ -232,7 +233,13 @@ def test_published(spark, built, cells):
     photos = read("database/photo")
     assert cells(photos, "RelationBelongsToUUID", "FirstKey") == [(None, None), ("C1", "I1"), ("C2", "I1")]
     pottery = read("database/pottery")
-    assert dict(pottery.dtypes)["PotteryCountBeforeMending"] == "double" and pottery.count() == 4
+    assert dict(pottery.dtypes)["PotteryCountBeforeMending"] == "double" and pottery.count() == 3
+    assert cells(read("issues/rejects_pottery"), "IdentifierUUID", "reason", "column", "value") == [
+        ("P4", "not a number", "PotteryCountBeforeMending", "many")]
+    counts = {r.table: (r.loaded, r.failed) for r in read("issues/load_counts").collect()}
+    assert counts["pottery"] == (3, 1) and counts["cut"] == (1, 1) and set(counts) == set(config.PUBLISHED_TABLES)
+    assert cells(read("issues/file_totals")) == [(10, 8, 2)]
+    assert cells(read("issues/context_counts")) == [(5, 2, 7)]
     for name in config.PUBLISHED_TABLES:
         table = read(f"database/{name}")
         assert table.filter(F.col("IdentifierUUID").isNull()).count() == 0
@@ -262,3 +269,16 @@ def test_sorted_lists_are_sorted(spark, tmp_path):
     publish.write_sorted(rows, str(tmp_path / "list"), "a")
     values = [r.a for f in sorted((tmp_path / "list").glob("part-*")) for r in spark.read.parquet(str(f)).collect()]
     assert values == sorted(values) and len(values) == 2000
+
+
+def test_an_unfinished_rebuild_is_not_read(spark, site, schemas, tmp_path, monkeypatch):
+    first = refresh(spark, str(site), str(schemas), str(tmp_path)).out
+    assert current(spark, str(tmp_path)) == first
+
+    def fail(*_):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(publish, "publish_reports", fail)
+    with pytest.raises(OSError):
+        refresh(spark, str(site), str(schemas), str(tmp_path))
+    assert current(spark, str(tmp_path)) == first

@@ -158,10 +158,10 @@ FIND_CLASSES = {
 }
 
 COLLECTION_PREFIX = "GEOMETRYCOLLECTION("
-POLYGON_PATTERN = r"POLYGON( Z)? ?\(\([^)]*\)\)"
+POLYGON_PATTERN = r"POLYGON( Z)? ?\(\([^()]*\)\)"
 OUTER_RING_PATTERN = r"POLYGON( Z)? ?\(\([^)]*\)"
-ANY_POLYGON_PATTERN = r"POLYGON( Z)? ?\(\([^A-Z]*?\)\)"
-POINT_PATTERN = r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?(\s+[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?){1,2}$"
+ANY_POLYGON_PATTERN = r"POLYGON[^()]*+(?:\((?:\([^()]*+\)[\s,]*+)*+\)?)?"
+DATE_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[-+]\d{2}:\d{2})?$"
 LAYER_CRS = (
     "+proj=tmerc +lat_0=36.8924527603922 +lon_0=25.6468737208999 "
     "+k=1 +x_0=4000 +y_0=4000 +datum=WGS84 +units=m +no_defs"

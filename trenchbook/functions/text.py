@@ -28,13 +28,25 @@ def blank_to_null(column: str | Column, missing: list[str] | tuple[str, ...] = (
     return F.when(~text.isin(list(missing)), text)
 
 
+def _parsed(text: Column) -> Column:
+    """Text as a double. Java's own spellings (``1d``, ``0x1p3``, ``Infinity``) are spoilt before the cast."""
+    return F.translate(text, "dDfFxX", "??????").try_cast("double")
+
+
 def whole_number(text: Column) -> Column:
     """Text as a whole number, fractions cut off towards zero; null when it is not a number.
 
-    The letters d, f and x are refused because Java would read ``1d`` or ``0x1p3``
-    as numbers. There is no shortcut through bigint: a failed cast to it is far dearer.
+    There is no shortcut through bigint: a failed cast to it is far dearer.
+    """
+    return _parsed(text).try_cast("bigint")
+
+
+def number(text: Column) -> Column:
+    """Text as a double; null when it is not a number or its whole part needs more than 64 bits.
+
+    The one rule for checks, sums, loading and coordinates: what this reads, ``whole_number`` reads too.
     """
-    return F.when(~text.rlike("[dDfFxX]"), text.try_cast("double").try_cast("bigint"))
+    return F.when(whole_number(text).isNotNull(), _parsed(text))
 
 
 def is_bad_number(text: Column) -> Column:
@@ -42,6 +54,11 @@ def is_bad_number(text: Column) -> Column:
     return text.isNotNull() & (text != "") & whole_number(text).isNull()
 
 
+def date_time(text: Column) -> Column:
+    """ISO date and time (``2018-07-10T08:00:00``, seconds and zone may be left out); null for anything else."""
+    return F.when(text.rlike(config.DATE_TIME_PATTERN), F.try_to_timestamp(text))
+
+
 def by_ending(file_name: Column, endings: dict[str, str]) -> Column:
     """Value whose key is an ending of the file name, trying each ending length in turn."""
     table = F.create_map(*[F.lit(x) for pair in endings.items() for x in pair])

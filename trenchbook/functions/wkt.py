@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from trenchbook import config
+from trenchbook.functions.text import number
 
 
 def polygon_texts(wkt: Column) -> Column:
@@ -30,7 +31,7 @@ def ring(polygon: Column) -> Column:
     body = F.trim(F.regexp_extract(polygon, r"\(\(([^)]*)\)", 1))
     first_point = F.trim(F.substring_index(body, ",", 1))
     return F.struct(
-        F.transform(F.split(body, r"[\s,]+"), lambda n: n.try_cast("double")).alias("numbers"),
+        F.transform(F.split(body, r"[\s,]+"), number).alias("numbers"),
         F.size(F.split(first_point, r"\s+")).alias("axes"),
     )
 
@@ -108,13 +109,26 @@ def opening_closing(polygons: Column) -> Column:
 
 
 def is_well_formed(polygon: Column) -> Column:
-    """True for a single-ring polygon of at least four points, each of two or three numbers.
+    """True for a single-ring polygon of at least four points, all of two or all of three numbers,
+    the last equal to the first.
 
-    Points are matched one by one: a pattern over a whole ring would recurse once per point.
+    Whatever passes has an area: ``ring`` reads the same numbers by the same rule.
     """
-    points = F.split(F.regexp_extract(polygon, r"\(\(([^)]*)\)", 1), ",")
-    return (
-        polygon.rlike("^" + config.POLYGON_PATTERN + "$")
-        & (F.size(points) >= 4)
-        & F.forall(points, lambda p: F.trim(p).rlike(config.POINT_PATTERN))
+    body = F.regexp_extract(polygon, r"\(\(([^)]*)\)", 1)
+    points = F.transform(
+        F.split(body, ","), lambda p: F.transform(F.split(F.trim(p), r"\s+"), number)
+    )
+
+    def closed(parsed: Column) -> Column:
+        axes = F.size(F.get(parsed, 0))
+        return (
+            (F.size(parsed) >= 4)
+            & axes.isin(2, 3)
+            & F.forall(parsed, lambda p: (F.size(p) == axes) & F.forall(p, lambda n: n.isNotNull()))
+            & (F.element_at(parsed, -1) == F.get(parsed, 0))
+        )
+
+    # The points are parsed once and handed over, not once for every point.
+    return polygon.rlike("^" + config.POLYGON_PATTERN + "$") & F.get(
+        F.transform(F.array(points), closed), 0
     )

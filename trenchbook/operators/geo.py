@@ -14,8 +14,9 @@ from trenchbook.operators.contexts import contexts_only
 def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
     """Keys on more than one row, with the seq of the first: (repeated_key, first_seq).
 
-    Counted before the shuffle, on two narrow columns. The rebalance lets the
-    runtime see how few there are and broadcast them, or skip the join when there are none.
+    Counted before the shuffle, on two narrow columns. Written as a table, its size is known before a join
+    with it is planned: Spark broadcasts a small one, and the wide rows are not shuffled. Joined as it is,
+    both sides start at once and the wide rows are shuffled before the size is seen.
     """
     return (
         rows.groupBy(F.col(key).alias("repeated_key"))
@@ -30,14 +31,19 @@ def _is_later_copy(key: str) -> Column:
     return F.col(key).eqNullSafe(F.col("repeated_key")) & (F.col("seq") > F.col("first_seq"))
 
 
-def dedupe_first(rows: DataFrame, key: str) -> DataFrame:
-    """First row of each key, rows without a key counting as one key."""
-    return rows.join(repeated_keys(rows, key), _is_later_copy(key), "left_anti")
+def dedupe_first(rows: DataFrame, key: str, repeated: DataFrame | None = None) -> DataFrame:
+    """First row of each key, rows without a key counting as one key.
+
+    ``repeated`` is the written table of ``repeated_keys``; without it they are counted here.
+    """
+    copies = repeated_keys(rows, key) if repeated is None else repeated
+    return rows.join(copies, _is_later_copy(key), "left_anti")
 
 
-def repeated_rows(rows: DataFrame, key: str) -> DataFrame:
-    """All but the first row of each key."""
-    return rows.join(repeated_keys(rows, key), _is_later_copy(key), "left_semi")
+def repeated_rows(rows: DataFrame, key: str, repeated: DataFrame | None = None) -> DataFrame:
+    """All but the first row of each key; ``repeated`` as in ``dedupe_first``."""
+    copies = repeated_keys(rows, key) if repeated is None else repeated
+    return rows.join(copies, _is_later_copy(key), "left_semi")
 
 
 def split_position(rows: DataFrame) -> DataFrame:
@@ -71,20 +77,15 @@ def open_close(rows: DataFrame) -> DataFrame:
     )
 
 
-def geo_contexts(master: DataFrame) -> DataFrame:
+def geo_contexts(master: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Contexts and ASUs with X, Y, opening and closing, the first row of each key.
 
     Copies go first, so no polygon is measured twice.
     """
-    return open_close(split_position(dedupe_first(master, "IdentifierUUID")))
-
+    return open_close(split_position(dedupe_first(master, "IdentifierUUID", repeated)))
 
-def geo_contexts_only(geo: DataFrame) -> DataFrame:
-    """The geo table without ASUs."""
-    return contexts_only(geo)
 
-
-def polygon_issues(master: DataFrame, *keep: str) -> DataFrame:
+def polygon_issues(master: DataFrame, *keep: str, repeated: DataFrame | None = None) -> DataFrame:
     """Rows with fewer than two polygons, without a collection, or with a key used before."""
     names = wkt.polygon_texts(F.col("CoverageXYZ"))
     largest = wkt.largest_two(wkt.measured_polygons(F.col("CoverageXYZ")))
@@ -95,7 +96,7 @@ def polygon_issues(master: DataFrame, *keep: str) -> DataFrame:
         master.select(*keep, shape.alias("reason"))
         .filter(F.col("reason").isNotNull())
         .unionByName(
-            repeated_rows(master, "IdentifierUUID").select(
+            repeated_rows(master, "IdentifierUUID", repeated).select(
                 *keep, F.lit("key used before").alias("reason")
             )
         )
@@ -164,7 +165,11 @@ def layer_find_summary(counted: DataFrame, columns: list[str] | None = None) ->
 
 
 def bad_wkt(rows: DataFrame, column: str, *keep: str) -> DataFrame:
-    """Polygons in a WKT column that are not one closed ring of numbers: (*keep, wkt)."""
+    """Polygons in a WKT column that are not one closed ring of numbers: (*keep, wkt).
+
+    Pieces are found by their parentheses alone, so whatever is written in them is seen. Every polygon
+    of a collection is measured or listed here, or both (holes, unclosed rings).
+    """
     pieces = F.regexp_extract_all(
         F.col(column), F.lit(config.ANY_POLYGON_PATTERN), F.lit(0)
     )

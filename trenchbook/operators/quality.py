@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trenchbook.functions.text import blank_to_null
+from trenchbook.functions.text import blank_to_null, date_time, number
 from trenchbook.sources.schema import Field, TableSchema
 
 REQUIRED = "required-constraint"
@@ -55,9 +55,9 @@ def _value_checks(f: Field) -> list[Column]:
                    _problem(f.name, ENUM, f"{f.name} is not one of the listed values", f.type))
         )
     typed = {
-        "number": value.try_cast("double"),
+        "number": number(value),
         "integer": value.try_cast("bigint"),
-        "datetime": F.try_to_timestamp(value),
+        "datetime": date_time(value),
     }.get(f.type)
     if typed is not None:
         checks.append(

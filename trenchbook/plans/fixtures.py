@@ -21,6 +21,7 @@ select 'T' || cast(o_custkey % 20 as string) as Source,
        'context ' || cast(o_orderkey as string) as Title,
        o_orderpriority as Description,
        case o_custkey % 5 when 0 then 'yesterday' when 1 then null
+            when 2 then case o_orderkey % 3 when 0 then '2018' when 1 then '2018-08' else '12:00' end
             else '2018-07-' || cast(10 + o_orderkey % 20 as string) || 'T08:00:00' end as DateEarliest,
        'C-' || cast(o_orderkey as string) as IdentifierUUID,
        cast(null as string) as RelationBelongsToUUID,
@@ -37,8 +38,11 @@ select 'T' || cast(o_custkey % 20 as string) as Source,
               then 'GEOMETRYCOLLECTION(POLYGON Z ((0 0 9, 8 0 9, 8 8 9, 0 8 9, 0 0 9), '
                 || '(1 1 9, 2 1 9, 2 2 9, 1 1 9)), POLYGON Z ((1 1 2, 5 1 2, 5 4 2, 1 1 2)))'
             when o_orderkey % 11 = 5 and o_custkey % 4 = 0
-              then 'GEOMETRYCOLLECTION(POLYGON Z ((0 0 9, 8 x 9, 8 8 9, 0 0 9)), '
+              then 'GEOMETRYCOLLECTION(POLYGON Z ((0 0 9, 8 ' || case o_custkey % 5 when 0 then 'x' when 1 then 'X'
+                when 2 then 'NaN' when 3 then '1.2E-5' else 'Infinity' end || ' 9, 8 8 9, 0 0 9)), '
                 || 'POLYGON Z ((1 1 2, 5 1 2, 5 4 2, 1 1 2)))'
+            when o_orderkey % 11 = 6 and o_custkey % 4 = 0
+              then 'GEOMETRYCOLLECTION(POLYGON Z ((0 0 9, 8 0 9, 8 8 9, 1 1 9)), POLYGON Z ((1 1 2, 5 1 2, 5 4 2, 1 1 2)))'
             else 'GEOMETRYCOLLECTION(POLYGON Z ((0 0 9, ' || cast(1 + o_custkey % 5 as string) || ' 0 9, '
               || cast(1 + o_custkey % 5 as string) || ' 3 9, 0 3 9, 0 0 9))'
               || case when o_orderkey % 11 = 2 then ''
@@ -137,7 +141,10 @@ select 'T' || cast(l_suppkey % 20 as string) as Source,
        case when l_partkey % 2 = 0 then 'burnt' end as PotteryBurning,
        'shape ' || cast(l_linenumber as string) as ShapeCountComment,
        cast(l_linenumber as string) as PotteryCountDiagnosticsBeforeMending,
-       case when l_partkey % 61 = 0 then 'many' else cast(l_suppkey % 10 as string) end as PotteryCountFine,
+       case when l_partkey % 61 = 0 then 'many'
+            when l_partkey % 59 = 0 then case l_suppkey % 4 when 0 then '1d' when 1 then '0x1p3' when 2 then 'NaN'
+              else 'Infinity' end
+            else cast(l_suppkey % 10 as string) end as PotteryCountFine,
        case when l_partkey % 67 = 0 then '' when l_partkey % 71 = 0 then '-1.9'
             else cast(l_partkey % 10 as string) end as PotteryCountMedium,
        cast(l_discount * 100 as string) as PotteryCountCoarse,

@@ -12,7 +12,8 @@ from trenchbook import config
 from trenchbook.plans.fixtures import COUNTS, view_sql
 
 ASU = "Type in ('Partition', 'ASU')"
-WHOLE = "cast(trunc(try_cast({0} as double)) as bigint)"
+NUMBER = r"case when regexp_full_match({0}, '\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*') then try_cast({0} as double) end"
+WHOLE = "cast(trunc(" + NUMBER + ") as bigint)"
 
 
 def _view(name: str) -> str:
@@ -166,7 +167,7 @@ def _repeated(table: str, column: str, per_file: bool = True) -> tuple[str, str,
 def _not_numbers() -> list[tuple[str, str, str, str, str]]:
     return [
         (c, TYPE, f"{c} is not a number", "number",
-         f"{c} is not null and {c} <> '' and try_cast({c} as double) is null")
+         f"{c} is not null and {c} <> '' and {NUMBER.format(c)} is null")
         for c in COUNTS
     ]
 
@@ -190,7 +191,8 @@ def _bag_checks(per_file: bool) -> list[tuple[str, str, str, str, str]]:
 
 MISSING_TYPED = """select Source as source_file, seq as row, 'DateEarliest' as "column",
     'type-or-format-error' as code, DateEarliest as value from t_context
-    where DateEarliest is not null and try_cast(DateEarliest as timestamp) is null"""
+    where DateEarliest is not null
+    and (length(DateEarliest) < 16 or substr(DateEarliest, 11, 1) <> 'T' or try_cast(DateEarliest as timestamp) is null)"""
 
 FOUND = 'source_file, row, "column", code, value'
 
@@ -245,11 +247,11 @@ PARTS = {
         select seq, IdentifierUUID, generate_subscripts(p, 1) - 1 as pos, unnest(p) as piece from (
             select seq, IdentifierUUID, regexp_extract_all(CoverageXYZ, 'POLYGON( Z)? ?\(\([^)]*\)') as p
             from master where starts_with(CoverageXYZ, 'GEOMETRYCOLLECTION(')))""",
-    "points": r"""select seq, pos, i, try_cast(n[1] as double) as x, try_cast(n[2] as double) as y,
-        try_cast(n[3] as double) as z from (
+    "points": f"""select seq, pos, i, {NUMBER.format("n[1]")} as x, {NUMBER.format("n[2]")} as y,
+        {NUMBER.format("n[3]")} as z from (
         select seq, pos, i, string_split(trim(point), ' ') as n from (
             select seq, pos, generate_subscripts(l, 1) as i, unnest(l) as point from (
-                select seq, pos, string_split(regexp_replace(regexp_replace(wkt, '^[^(]*\(\(', ''), '\)\)$', ''), ',') as l
+                select seq, pos, string_split(replace(substr(wkt, strpos(wkt, '((') + 2), '))', ''), ',') as l
                 from polygons)))""",
     "measures": """select seq, pos,
         case when count(*) = count(term) then abs(sum(term)) / 2 end as area, min(low) as low from (
@@ -282,6 +284,11 @@ PARTS = {
         f"(select * from placed where not {ASU})",
         "(select *, Context_UUID as target from finds where Context_UUID is not null)",
     ),
+    # The first bad number of a bag as "column=value"; copies are counted among bags without one.
+    "checked_bags": f"""select *, row_number() over (partition by IdentifierUUID, bad is null order by seq) as rn
+        from (select *, coalesce({", ".join(
+            f"case when {c} <> '' and {NUMBER.format(c)} is null then '{c}=' || {c} end" for c in COUNTS)}) as bad
+            from t_bag)""",
     "sample_problems": _problems("t_sample", SAMPLE_CHECKS,
         """, concat_ws(' - ', coalesce(Source, ''), coalesce(Type, ''), coalesce(Identifier, ''),
            coalesce(Title, '')) as item"""),
@@ -408,7 +415,7 @@ SQL = {
     "first_labels": "select key, Source, ContextID from rolled_context",
     "bad_numbers": " union all ".join(
         f"""select Source, ContextID, Identifier, '{c}' as "column", {c} as value from t_bag
-        where {c} is not null and {c} <> '' and try_cast({c} as double) is null""" for c in COUNTS
+        where {c} is not null and {c} <> '' and {NUMBER.format(c)} is null""" for c in COUNTS
     ),
     "rollup_reconcile": f"""select rollup, before, after, before - after as not_rolled_up from (
             select cast(sum({WHOLE.format(config.CONTROL_COLUMN)}) as bigint) as before from pottery) b
@@ -471,11 +478,12 @@ SQL = {
     "layer_sf_summary": f"""select Source, Type, "Sub-Type", Identifier, Title, Description, IdentifierUUID,
         Context_UUID, ASU_UUID, {", ".join(f'"{c}"' for c in CLASSES)}, opening as wkt
         from found_context where opening is not null""",
-    "bad_wkt": r"""select IdentifierUUID, wkt from (
-            select IdentifierUUID, unnest(regexp_extract_all(CoverageXYZ, 'POLYGON( Z)? ?\(\([^A-Z]*?\)\)')) as wkt
-            from master)
-        where not regexp_full_match(wkt,
-            'POLYGON( Z)? ?\(\(\s*-?[0-9.]+( -?[0-9.]+){1,2}(, -?[0-9.]+( -?[0-9.]+){1,2}){3,}\)\)')""",
+    "bad_wkt": f"""select IdentifierUUID, wkt from (
+            select IdentifierUUID, wkt, string_split(split_part(split_part(wkt, '((', 2), '))', 1), ', ') as corners
+            from (select IdentifierUUID, 'POLYGON' || split_part(piece, '))', 1) || '))' as wkt
+                from (select IdentifierUUID, unnest(string_split(CoverageXYZ, 'POLYGON')[2:]) as piece from master)))
+        where strpos(wkt, '), (') > 0 or corners[1] <> corners[-1] or len(corners) < 4
+           or len(list_filter(string_split(array_to_string(corners, ' '), ' '), lambda n: {NUMBER.format("n")} is null)) > 0""",
     "dedupe_first": "select Source, Identifier, IdentifierUUID, Description from ranked where rn = 1",
     "repeated_rows": "select Source, Identifier, IdentifierUUID, Description from ranked where rn > 1",
     "first_match": "select parent, Context_UUID, ASU_UUID, SampleBag_UUID from candidates",
@@ -484,11 +492,17 @@ SQL = {
         IdentifierUUID, RelationBelongsToUUID, CoverageXYZ from ranked
         where rn = 1 and IdentifierUUID is not null""",
     "publish_numbers": "select Source, ContextID, Identifier, "
-        + ", ".join(f"try_cast({c} as double) as {c}" for c in COUNTS)
-        + """, IdentifierUUID from t_bag
-        qualify row_number() over (partition by IdentifierUUID order by seq) = 1""",
+        + ", ".join(f"{NUMBER.format(c)} as {c}" for c in COUNTS)
+        + """, IdentifierUUID from checked_bags where bad is null and rn = 1""",
+    "publish_number_rejects": """select Source, Identifier, IdentifierUUID,
+        case when bad is null then 'key loaded before' else 'not a number' end as reason,
+        split_part(bad, '=', 1) as "column", split_part(bad, '=', 2) as value
+        from checked_bags where bad is not null or rn > 1""",
+    "publish_number_counts": """select count(*) filter (bad is null and rn = 1) as loaded,
+        count(*) filter (bad is not null or rn > 1) as failed from checked_bags""",
     "publish_rejects": """select Source, Identifier, IdentifierUUID,
-        case when IdentifierUUID is null then 'no key' else 'key loaded before' end as reason
+        case when IdentifierUUID is null then 'no key' else 'key loaded before' end as reason,
+        cast(null as varchar) as "column", cast(null as varchar) as value
         from ranked where rn > 1 or IdentifierUUID is null""",
     "publish_counts": """select count(*) filter (rn = 1 and IdentifierUUID is not null) as loaded,
         count(*) filter (rn > 1 or IdentifierUUID is null) as failed from ranked""",

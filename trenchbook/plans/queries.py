@@ -116,8 +116,23 @@ class Site:
             "again", lambda: contexts.master_context(self.raw("context_again"))
         )
 
+    def again_keys(self) -> DataFrame:
+        """Its keys on several rows."""
+        return self.stages.table(
+            "again_keys", lambda: geo.repeated_keys(self.again(), "IdentifierUUID")
+        )
+
+    def bag_keys(self) -> DataFrame:
+        """Keys of several bags that would load."""
+        return self.stages.table(
+            "bag_keys", lambda: publish.load_copies(self.raw("bag"), BAG_SCHEMA)
+        )
+
     def geo(self) -> DataFrame:
-        return self.stages.table("geo", lambda: geo.geo_contexts(self.master()))
+        repeated = self.stages.table(
+            "master_keys", lambda: geo.repeated_keys(self.master(), "IdentifierUUID")
+        )
+        return self.stages.table("geo", lambda: geo.geo_contexts(self.master(), repeated))
 
     def make_rolled_asu(self) -> DataFrame:
         return rollup.rollup_context_asu(self.pottery(), self.master(), COUNTS)
@@ -193,6 +208,7 @@ def _missing(s: Site) -> DataFrame:
 
 
 FOUND = ["source_file", "row", "column", "code", "value"]
+SHOWN = ["Source", "Identifier", "IdentifierUUID"]
 
 QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     # Routing
@@ -212,9 +228,9 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     ),
     "is_asu": lambda s: s.raw("context").select("IdentifierUUID", is_asu().alias("is_asu")),
     "drop_null_geometry": lambda s: geo.null_geometry_counts(s.geo()),
-    "contexts_only": lambda s: geo.geo_contexts_only(geo.geo_contexts(s.again())).select(
-        "Source", "IdentifierUUID", "Title", "opening", "closing"
-    ),
+    "contexts_only": lambda s: contexts.contexts_only(
+        geo.geo_contexts(s.again(), s.again_keys())
+    ).select("Source", "IdentifierUUID", "Title", "opening", "closing"),
     # Validation
     "check_required": _by_code(quality.REQUIRED, "sample", SAMPLE_SCHEMA),
     "check_enum": _by_code(quality.ENUM, "sample", SAMPLE_SCHEMA),
@@ -350,9 +366,9 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "open_close": lambda s: geo.open_close(s.raw("context")).select(
         "IdentifierUUID", "opening", "closing"
     ),
-    "geo_contexts": lambda s: geo.geo_contexts(s.again()).drop("seq"),
+    "geo_contexts": lambda s: geo.geo_contexts(s.again(), s.again_keys()).drop("seq"),
     "polygon_issues": lambda s: geo.polygon_issues(
-        s.again(), "Source", "Type", "Sub-Type", "Identifier"
+        s.again(), "Source", "Type", "Sub-Type", "Identifier", repeated=s.again_keys()
     ),
     "asu_without_context_row": lambda s: geo.asu_without_context_row(s.geo()),
     "polygon_features": lambda s: geo.polygon_features(s.geo()),
@@ -365,23 +381,31 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     ),
     "bad_wkt": lambda s: geo.bad_wkt(s.geo(), "CoverageXYZ", "IdentifierUUID"),
     # Order
-    "dedupe_first": lambda s: geo.dedupe_first(s.raw("context_again"), "IdentifierUUID").select(
-        "Source", "Identifier", "IdentifierUUID", "Description"
-    ),
-    "repeated_rows": lambda s: geo.repeated_rows(s.raw("context_again"), "IdentifierUUID").select(
-        "Source", "Identifier", "IdentifierUUID", "Description"
-    ),
+    "dedupe_first": lambda s: geo.dedupe_first(
+        s.raw("context_again"), "IdentifierUUID", s.again_keys()
+    ).select(*SHOWN, "Description"),
+    "repeated_rows": lambda s: geo.repeated_rows(
+        s.raw("context_again"), "IdentifierUUID", s.again_keys()
+    ).select(*SHOWN, "Description"),
     "first_match": lambda s: relations.bag_candidates(
         s.samples(), s.master(), s.finds()
     ).select("parent", "keys.*"),
     "sorted_issues": lambda s: geo.polygon_issues(
-        s.again(), "Source", "Type", "Sub-Type", "Identifier"
+        s.again(), "Source", "Type", "Sub-Type", "Identifier", repeated=s.again_keys()
     ).orderBy("reason", "Source", "Type", "Sub-Type", "Identifier"),
     # Publication
-    "publish_table": lambda s: publish.publish_table(s.again(), CONTEXT_SCHEMA),
-    "publish_numbers": lambda s: publish.publish_table(s.raw("bag"), BAG_SCHEMA),
+    "publish_table": lambda s: publish.publish_table(
+        s.again(), CONTEXT_SCHEMA, copies=s.again_keys()
+    ),
+    "publish_numbers": lambda s: publish.publish_table(
+        s.raw("bag"), BAG_SCHEMA, copies=s.bag_keys()
+    ),
     "publish_rejects": lambda s: publish.publish_rejects(
-        s.again(), "IdentifierUUID", "Source", "Identifier", "IdentifierUUID"
+        s.again(), CONTEXT_SCHEMA, SHOWN, copies=s.again_keys()
+    ),
+    "publish_number_rejects": lambda s: publish.publish_rejects(
+        s.raw("bag"), BAG_SCHEMA, SHOWN, copies=s.bag_keys()
     ),
-    "publish_counts": lambda s: publish.load_counts(s.again()),
+    "publish_counts": lambda s: publish.load_counts(s.again(), CONTEXT_SCHEMA),
+    "publish_number_counts": lambda s: publish.load_counts(s.raw("bag"), BAG_SCHEMA),
 }

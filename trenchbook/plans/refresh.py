@@ -1,11 +1,13 @@
 """Full rebuild: exports in one folder become tables, layers, reports and issue lists in another.
 
-Every output is replaced. Steps share their tables as written parquet.
+Each rebuild writes to a folder of its own and becomes the current one when all of it is there, so
+nothing of an earlier or unfinished rebuild is read. Steps share their tables as written parquet.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,11 +47,14 @@ class Refresh:
     spark: SparkSession
     exports_folder: str
     schema_folder: str
-    out: str
+    folder: str
     summed_columns: list[str] = field(default_factory=lambda: list(config.SUMMED_COLUMNS))
 
     def __post_init__(self) -> None:
+        self.run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+        self.out = f"{self.folder}/runs/{self.run_id}"
         self.tables = Stages(self.spark, f"{self.out}/tables")
+        self.work = Stages(self.spark, f"{self.out}/work")
         self.issues: dict[str, DataFrame] = {}
 
     def schema(self, name: str) -> TableSchema:
@@ -65,6 +70,10 @@ class Refresh:
                 publish.write_sorted(rows, f"{self.out}/issues/{name}", *SORTED_ISSUES[name])
             else:
                 publish.write_table(rows, f"{self.out}/issues/{name}")
+        finished = self.spark.range(1).select(
+            F.lit(self.run_id).alias("run_id"), F.current_timestamp().alias("finished")
+        )
+        finished.write.mode("append").parquet(f"{self.folder}/finished")
 
     # Assemble: route, strip, unite, check.
 
@@ -97,7 +106,11 @@ class Refresh:
             violations = self.tables.table("violations", lambda: quality.all_violations(checks))
             self.issues["violations"] = violations
             self.issues["pottery_violations"] = violations.filter(F.col("table") == "Pottery")
-            self.issues["violation_counts"] = reduce(DataFrame.unionByName, counts)
+            per_file = self.work.table(
+                "violation_counts", lambda: reduce(DataFrame.unionByName, counts)
+            )
+            self.issues["violation_counts"] = per_file
+            self.issues["file_totals"] = quality.file_totals(per_file)
             types = [self.type_table(t).select(F.lit(t).alias("Type")) for t in self.types]
             self.issues["type_row_counts"] = exports.type_row_counts(
                 reduce(DataFrame.unionByName, types)
@@ -138,6 +151,7 @@ class Refresh:
             ),
         )
         self.issues["asu_no_parent"] = contexts.asu_no_parent(master)
+        self.issues["context_counts"] = contexts.context_counts(master)
         self.issues["all_context_violations"] = quality.violations(
             master, self.schema(config.PUBLISHED_TABLES["all_context"]), "Source", site_wide=True
         )
@@ -199,10 +213,13 @@ class Refresh:
     def map_and_publish(self) -> None:
         tables = self.tables
         master, pottery = tables.get("all_context"), tables.get("pottery")
-        placed = tables.table("geo", lambda: geo.geo_contexts(master))
-        only = geo.geo_contexts_only(placed)
+        repeated = self.work.table(
+            "copies/contexts", lambda: geo.repeated_keys(master, "IdentifierUUID")
+        )
+        placed = tables.table("geo", lambda: geo.geo_contexts(master, repeated))
+        only = contexts.contexts_only(placed)
         self.issues["polygons"] = geo.polygon_issues(
-            master, "Source", "Type", "Sub-Type", "Identifier"
+            master, "Source", "Type", "Sub-Type", "Identifier", repeated=repeated
         )
         self.issues["asu_without_context_row"] = geo.asu_without_context_row(placed)
         self.issues["bad_wkt"] = geo.bad_wkt(placed, "CoverageXYZ", "Source", "Identifier")
@@ -235,14 +252,24 @@ class Refresh:
         }
         publish.publish_layers(layers, f"{self.out}/layers")
 
+        counts = []
         for name, schema_name in config.PUBLISHED_TABLES.items():
             source = LOADED_FROM[name]
             rows = tables.get(source) if source == name else self.type_table(source)
-            loaded = publish.publish_table(rows, self.schema(schema_name))
+            schema = self.schema(schema_name)
+            copies = self.work.table(
+                f"copies/{name}",
+                lambda rows=rows, schema=schema: publish.load_copies(rows, schema),
+            )
+            loaded = publish.publish_table(rows, schema, copies=copies)
             publish.write_table(loaded, f"{self.out}/database/{name}")
             self.issues[f"rejects_{name}"] = publish.publish_rejects(
-                rows, "IdentifierUUID", "Source", "IdentifierUUID"
+                rows, schema, ["Source", "IdentifierUUID"], copies=copies
+            )
+            counts.append(
+                publish.load_counts(rows, schema).select(F.lit(name).alias("table"), "loaded", "failed")
             )
+        self.issues["load_counts"] = reduce(DataFrame.unionByName, counts)
         publish.publish_reports(
             {name: self.type_table(source) for name, source in REPORTED_FROM.items()},
             {name: self.schema(s) for name, s in config.REPORTS.items()},
@@ -250,10 +277,16 @@ class Refresh:
         )
 
 
+def current(spark: SparkSession, out: str) -> str:
+    """Folder of the last rebuild under ``out`` that was finished."""
+    last = spark.read.parquet(f"{out}/finished").agg(F.max_by("run_id", "finished")).first()[0]
+    return f"{out}/runs/{last}"
+
+
 def refresh(
     spark: SparkSession, exports_folder: str, schema_folder: str, out: str, **settings
 ) -> Refresh:
-    """Rebuild everything under ``out``; the folder must be one all executors share."""
+    """Rebuild everything into a new folder under ``out``, which all executors must share; see ``current``."""
     job = Refresh(spark, exports_folder, schema_folder, out, **settings)
     job.run()
     return job

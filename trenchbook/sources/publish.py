@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trenchbook.operators.geo import dedupe_first, repeated_rows
+from trenchbook.functions.text import is_bad_number, number
+from trenchbook.operators.geo import dedupe_first, repeated_keys, repeated_rows
 from trenchbook.sources.schema import TableSchema
 
 KEY = "IdentifierUUID"
@@ -21,35 +22,78 @@ def typed(rows: DataFrame, schema: TableSchema) -> DataFrame:
         value = F.col(f"`{f.name}`")
         numeric = f.metadata["type"] == "number"
         cells.append(
-            (value.try_cast("double") if numeric else value.cast("string")).alias(
+            (number(value.cast("string")) if numeric else value.cast("string")).alias(
                 f.name, metadata=f.metadata
             )
         )
     return rows.select(*cells)
 
 
-def publish_table(rows: DataFrame, schema: TableSchema, key: str = KEY) -> DataFrame:
-    """Rows that load: the first of each key, typed."""
-    return typed(dedupe_first(rows.filter(F.col(key).isNotNull()), key), schema)
+def bad_cell(schema: TableSchema) -> Column:
+    """First number column whose text is not a number, as (column, value); null when all load."""
+    return F.coalesce(
+        F.lit(None).cast("struct<column:string,value:string>"),
+        *[
+            F.when(
+                is_bad_number(F.col(f"`{f.name}`").cast("string")),
+                F.struct(
+                    F.lit(f.name).alias("column"), F.col(f"`{f.name}`").cast("string").alias("value")
+                ),
+            )
+            for f in schema.fields
+            if f.type == "number"
+        ],
+    )
+
+
+def loadable(rows: DataFrame, schema: TableSchema, key: str = KEY) -> DataFrame:
+    """Rows with a key and without a bad number; of these the first of each key loads."""
+    return rows.filter(F.col(key).isNotNull() & bad_cell(schema).isNull())
+
+
+def load_copies(rows: DataFrame, schema: TableSchema, key: str = KEY) -> DataFrame:
+    """Keys that several loadable rows have. Written as a table first, it keeps the wide rows in place."""
+    return repeated_keys(loadable(rows, schema, key), key)
 
 
-def publish_rejects(rows: DataFrame, key: str = KEY, *keep: str) -> DataFrame:
-    """Rows that do not load, and why: (*keep, reason)."""
-    keyed = rows.filter(F.col(key).isNotNull())
-    repeated = repeated_rows(keyed, key).select(*keep, F.lit("key loaded before").alias("reason"))
-    return repeated.unionByName(
-        rows.filter(F.col(key).isNull()).select(*keep, F.lit("no key").alias("reason"))
+def publish_table(
+    rows: DataFrame, schema: TableSchema, key: str = KEY, copies: DataFrame | None = None
+) -> DataFrame:
+    """Rows that load, typed; ``copies`` as from ``load_copies``, where it is written already."""
+    return typed(dedupe_first(loadable(rows, schema, key), key, copies), schema)
+
+
+def publish_rejects(
+    rows: DataFrame, schema: TableSchema, keep: list[str], key: str = KEY, copies: DataFrame | None = None
+) -> DataFrame:
+    """Rows that do not load, and why: (*keep, reason, column, value).
+
+    Every row either loads or is here once. Of several bad numbers the first is named; all are violations.
+    """
+    none = F.lit(None).cast("string")
+    repeated = repeated_rows(loadable(rows, schema, key), key, copies).select(
+        *keep, F.lit("key loaded before").alias("reason"), none.alias("column"), none.alias("value")
+    )
+    no_key = F.col(key).isNull()
+    cell = F.when(~no_key, bad_cell(schema))
+    refused = rows.select(
+        *keep,
+        F.when(no_key, "no key").when(cell.isNotNull(), "not a number").alias("reason"),
+        cell["column"].alias("column"),
+        cell["value"].alias("value"),
     )
+    return repeated.unionByName(refused.filter(F.col("reason").isNotNull()))
 
 
-def load_counts(rows: DataFrame, key: str = KEY) -> DataFrame:
+def load_counts(rows: DataFrame, schema: TableSchema, key: str = KEY) -> DataFrame:
     """Rows that load and fail: (loaded, failed). Counted per key first, so copies cost nothing."""
+    loads = F.col(key).isNotNull() & bad_cell(schema).isNull()
     return (
         rows.groupBy(key)
-        .agg(F.count("*").alias("copies"))
+        .agg(F.count("*").alias("n_rows"), F.max(loads).alias("loads"))
         .agg(
-            F.count(key).alias("loaded"),
-            (F.coalesce(F.sum("copies"), F.lit(0)) - F.count(key)).alias("failed"),
+            F.count_if("loads").alias("loaded"),
+            (F.coalesce(F.sum("n_rows"), F.lit(0)) - F.count_if("loads")).alias("failed"),
         )
     )
 
