@@ -277,7 +277,10 @@ def test_violations(frame, cells):
 
 def test_header(spark, cells):
     header = ["Source", "Type", "Identifier", "Title", "Count", "Date", "Colour"]
-    assert cells(quality.check_header(spark, header, SCHEMA, "f"), "column", "code") == [
+    files = spark.createDataFrame([("f", header), ("g", SCHEMA.names)], "source_file string, header array<string>")
+    found = quality.check_header(files, SCHEMA)
+    assert cells(found, "source_file") == [("f",), ("f",)]
+    assert cells(found, "column", "code") == [
         ("Colour", quality.EXTRA_HEADER), ("IdentifierUUID", quality.MISSING_HEADER),
     ]
 

@@ -152,8 +152,8 @@ def test_large_file_is_split_and_keeps_its_order(spark, tmp_path):
         rows = exports.scan_exports(spark, [str(path)], found[0]["header"], multi_line=False)
         assert rows.rdd.getNumPartitions() > 5
         picked = rows.filter("Identifier in ('name 0', 'name 9999', 'name 19999')")
-        numbered = exports.line_numbers(picked.withColumn("row", F.col("seq")), rows)
-        assert {r.Identifier: r.line for r in numbered.collect()} == {
+        numbered = exports.record_numbers(picked.withColumn("row", F.col("seq")), rows)
+        assert {r.Identifier: r.record for r in numbered.collect()} == {
             "name 0": 2, "name 9999": 10001, "name 19999": 20001,
         }
         ordered = [r.Identifier for r in rows.orderBy("seq").collect()]
@@ -173,6 +173,10 @@ def test_coverage_and_headers(built, cells):
     coverage = dict(cells(read("issues/file_coverage"), "file_name", "schema"))
     assert coverage["Trench B Plans.tab"] == "no schema"
     assert coverage["Trench B Sample Bags.tab"] == "samplebag.json" and len(coverage) == 11
+    states = dict(cells(read("issues/file_coverage"), "file_name", "state"))
+    assert states["Trench B Plans.tab"] == "no schema" and states["Trench B Surfaces.tab"] == "failed"
+    assert sorted(states.values()).count("stripped") == 9
+    assert ("no schema", "no schema", 1) in cells(read("issues/file_coverage_counts"))
     # A file without a column of its schema is left out and reported.
     assert cells(read("issues/headers"), "column", "code") == [("Title", "missing-header")]
 
@@ -188,12 +192,15 @@ def test_types(built, cells):
 
 def test_violations(built, cells):
     read, _ = built
-    got = cells(read("issues/violations"), "table", "source_file", "line", "column", "code")
+    got = cells(read("issues/violations"), "table", "source_file", "record", "column", "code")
     assert ("Cut", "Trench A Cuts.tab", 2, "IdentifierUUID", "unique-constraint") in got
     assert ("Cut", "Trench A Cuts.tab", 3, "IdentifierUUID", "unique-constraint") in got
     assert ("Pottery", "Trench B Pottery.tab", 5, "PotteryCountBeforeMending", "type-or-format-error") in got
     assert len(got) == 3
-    assert cells(read("issues/pottery_violations_site"), "trench", "potbag") == [("Trench B Pottery", "p4")]
+    assert cells(read("issues/pottery_violations_site"), "trench", "potbag", "record", "field_type") == [
+        ("Trench B Pottery", "p4", 5, "number")]
+    twice = cells(read("issues/all_context_violations"), "column", "value", "record", "code")
+    assert [t for t in twice if t[1] == "K1"] == [("IdentifierUUID", "K1", r, "unique-constraint") for r in (2, 3)]
 
 
 def test_keys_and_rollups(built, cells):

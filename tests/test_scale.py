@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from trenchbook import config
 from trenchbook.functions.joins import left_join_spread
-from trenchbook.operators import chronology, contexts, relations, rollup
+from trenchbook.operators import chronology, contexts, geo, quality, relations, rollup
 from trenchbook.plans.queries import QUERIES as OWN
 from trenchbook.plans.queries import site
+from trenchbook.sources.schema import Field, TableSchema
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = {name: contract.queries()[name] for name in OWN}
@@ -55,6 +56,59 @@ def small_partitions(spark):
         spark.conf.set(k, v)
 
 
+def final_plan(rows) -> str:
+    """The plan as it ran, with runtime sizes."""
+    query = rows._jdf.queryExecution()
+    query.executedPlan().executeCollect()
+    return query.executedPlan().toString().split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize("copies", [0, 5])
+def test_written_keys_spare_the_wide_rows_a_shuffle(spark, tmp_path, copies):
+    """Rows far over the broadcast limit stay where they are when few keys or values repeat."""
+    wide = str(tmp_path / "wide")
+    spark.range(20000).selectExpr(
+        f"concat('K', if(id < {copies}, id + 1000, id)) as IdentifierUUID", "uuid() as other", "'T' as file_name",
+        "lpad(cast(id as string), 9, '0') as seq",
+    ).write.parquet(wide)
+    rows = spark.read.parquet(wide)
+    schema = TableSchema((Field("IdentifierUUID", unique=True), Field("other")))
+    written = {}
+    for name, found in (
+        ("keys", geo.repeated_keys(rows, "IdentifierUUID")), ("values", quality.repeated_values(rows, schema)),
+    ):
+        found.write.parquet(str(tmp_path / name))
+        written[name] = spark.read.parquet(str(tmp_path / name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64KB")
+    try:
+        for rows_left, n in (
+            (geo.dedupe_first(rows, "IdentifierUUID", written["keys"]), 20000 - copies),
+            (geo.repeated_rows(rows, "IdentifierUUID", written["keys"]), copies),
+            (quality.check_unique(rows, schema, repeated=written["values"]), 2 * copies),
+        ):
+            text = final_plan(rows_left)
+            assert "Exchange hashpartitioning" not in text and "ShuffleQueryStage" not in text
+            assert rows_left.count() == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_survey_shuffles_no_text(spark, tmp_path):
+    from trenchbook.sources import exports
+
+    for i in range(3):
+        (tmp_path / f"Trench {i} Cuts.tab").write_text("Source\tIdentifier\n" + "?\tone\n" * 1000)
+    surveyed = exports.survey_files(spark, [str(f) for f in sorted(tmp_path.iterdir())])
+    query = surveyed._jdf.queryExecution()
+    assert len(query.executedPlan().executeCollect()) == 3
+    text = query.executedPlan().toString().split("Initial Plan")[0]
+    # one scan, combined before the only shuffle
+    assert text.count("FileScan text") == 1 and text.count("Exchange hashpartitioning(path") == 1
+    below = text.split("Exchange hashpartitioning(path")[1]
+    assert "partial_min_by" in below or "partial_minby" in below.lower()
+
+
 def hot_site(spark, n=30000):
     """One context that a third of all bags name, another third without a parent."""
     keys = spark.range(3000)

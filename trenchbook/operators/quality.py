@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trenchbook.functions.text import blank_to_null, date_time, number
@@ -67,12 +67,16 @@ def _value_checks(f: Field) -> list[Column]:
     return checks
 
 
-def _identified(rows: DataFrame, schema: TableSchema, source_file: str, row: str) -> list[Column]:
-    first = [F.col(f"`{n}`").cast("string") for n in schema.names[:4]]
+def _first(schema: TableSchema) -> Column:
+    """A row's first four columns as texts."""
+    return F.array(*[F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")) for n in schema.names[:4]])
+
+
+def _identified(schema: TableSchema, source_file: str, row: str) -> list[Column]:
     return [
         F.col(source_file).alias("source_file"),
         F.col(row).alias("row"),
-        F.concat_ws(" - ", *[F.coalesce(c, F.lit("")) for c in first]).alias("item"),
+        F.concat_ws(" - ", _first(schema)).alias("item"),
     ]
 
 
@@ -86,12 +90,46 @@ def check_values(
     """Required, enum and type checks of all columns in one pass, without a shuffle."""
     checks = [c for f in schema.fields for c in _value_checks(f)]
     return rows.select(
-        *_identified(rows, schema, source_file, row),
+        *_identified(schema, source_file, row),
         *carry,
         F.explode(F.array_compact(F.array(*checks))).alias("problem"),
     ).select("source_file", "row", "item", "problem.*", *carry)
 
 
+def _unique_cells(schema: TableSchema) -> Column:
+    """Columns (column, value) of every unique column, as an array to inline."""
+    return F.array(
+        *[
+            F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").cast("string").alias("value"))
+            for f in schema.fields
+            if f.unique
+        ]
+    )
+
+
+def _scope(source_file: str, site_wide: bool) -> Column:
+    return F.lit("") if site_wide else F.coalesce(F.col(source_file), F.lit(""))
+
+
+def repeated_values(
+    rows: DataFrame, schema: TableSchema, source_file: str = "file_name", site_wide: bool = False
+) -> DataFrame:
+    """Values that rows share in a unique column, within a file or anywhere: (scope, column, value).
+
+    Counted before the shuffle, on these three columns. Written as a table, its size is known before
+    ``check_unique`` is planned: Spark broadcasts a small one, and the rows are not shuffled.
+    """
+    return (
+        rows.select(_scope(source_file, site_wide).alias("scope"), F.inline(_unique_cells(schema)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("scope", "column", "value")
+        .agg(F.count("*").alias("copies"))
+        .filter(F.col("copies") > 1)
+        .drop("copies")
+        .hint("rebalance")
+    )
+
+
 def check_unique(
     rows: DataFrame,
     schema: TableSchema,
@@ -99,50 +137,53 @@ def check_unique(
     row: str = "seq",
     site_wide: bool = False,
     carry: tuple[str, ...] = (),
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Rows that share a value of a unique column within their file, or anywhere.
 
-    All unique columns are checked together. Counting is combined before the
-    shuffle, and only repeated values come back to the rows, so unique data moves
-    little and a value with many copies is split like any skewed join.
+    All unique columns are checked together, and texts are made for rows found only.
+    ``repeated`` is the written table of ``repeated_values``; without it they are counted here, and the
+    rows are shuffled as well.
     """
-    fields = [f for f in schema.fields if f.unique]
-    cells = F.array(*[_problem(f.name, UNIQUE, f"{f.name} must be unique", f.type) for f in fields])
-    scope = F.lit("") if site_wide else F.col("source_file")
-    long = (
-        rows.select(
-            *_identified(rows, schema, source_file, row),
-            *carry,
-            F.explode(cells).alias("problem"),
-        )
-        .select("source_file", "row", "item", "problem.*", *carry)
-        .filter(F.col("value").isNotNull())
-        .withColumn("scope", scope)
-    )
-    repeated = (
-        long.groupBy("scope", "column", "value")
-        .agg(F.count("*").alias("copies"))
-        .filter(F.col("copies") > 1)
-        .select("scope", "column", "value")
-        .hint("rebalance")
+    if repeated is None:
+        repeated = repeated_values(rows, schema, source_file, site_wide)
+    cells = rows.select(
+        F.col(source_file).alias("source_file"),
+        F.col(row).alias("row"),
+        _first(schema).alias("first"),
+        *carry,
+        _scope(source_file, site_wide).alias("scope"),
+        F.inline(_unique_cells(schema)),
     )
-    return long.join(repeated, ["scope", "column", "value"], "left_semi").select(
-        "source_file", "row", "item", "column", "code", "message", "value", "field_type", *carry
+    types = F.create_map(*[F.lit(x) for f in schema.fields if f.unique for x in (f.name, f.type)])
+    return cells.join(repeated, ["scope", "column", "value"], "left_semi").select(
+        "source_file",
+        "row",
+        F.concat_ws(" - ", "first").alias("item"),
+        "column",
+        F.lit(UNIQUE).alias("code"),
+        F.concat("column", F.lit(" must be unique")).alias("message"),
+        "value",
+        F.try_element_at(types, F.col("column")).alias("field_type"),
+        *carry,
     )
 
 
-def check_header(
-    spark: SparkSession, header: list[str], schema: TableSchema, source_file: str
-) -> DataFrame:
-    """Columns missing from a file's header, and columns the schema does not know."""
-    problems = [(n, MISSING_HEADER, f"{n} is missing") for n in schema.names if n not in header]
-    problems += [
-        (n, EXTRA_HEADER, f"{n} is not in the schema") for n in header if n not in schema.names
-    ]
-    return spark.createDataFrame(
-        [(source_file, column, code, message) for column, code, message in problems],
-        "source_file string, column string, code string, message string",
-    )
+def check_header(files: DataFrame, schema: TableSchema) -> DataFrame:
+    """Columns missing from a file's header, and columns the schema does not know, of files (source_file, header)."""
+    names = F.array(*[F.lit(n) for n in schema.names])
+
+    def problems(columns: Column, code: str, message: str) -> Column:
+        return F.transform(
+            columns,
+            lambda c: F.struct(
+                c.alias("column"), F.lit(code).alias("code"), F.concat(c, F.lit(message)).alias("message")
+            ),
+        )
+
+    missing = problems(F.array_except(names, F.col("header")), MISSING_HEADER, " is missing")
+    extra = problems(F.array_except(F.col("header"), names), EXTRA_HEADER, " is not in the schema")
+    return files.select("source_file", F.inline(F.concat(missing, extra)))
 
 
 def violations(
@@ -152,13 +193,14 @@ def violations(
     row: str = "seq",
     site_wide: bool = False,
     carry: tuple[str, ...] = (),
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
-    """All violations of a table, after its missing values became nulls."""
+    """All violations of a table, after its missing values became nulls; ``repeated`` as in ``check_unique``."""
     rows = missing_values(rows, schema)
     found = check_values(rows, schema, source_file, row, carry)
     if any(f.unique for f in schema.fields):
         found = found.unionByName(
-            check_unique(rows, schema, source_file, row, site_wide, carry)
+            check_unique(rows, schema, source_file, row, site_wide, carry, repeated)
         )
     return found
 

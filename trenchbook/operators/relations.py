@@ -154,6 +154,7 @@ def explode_photos(photos: DataFrame, original: str = "OriginalIdentifierUUID")
 
     A photo with several parents becomes several rows, each with a new key made
     from photo and parent, and with the old key kept in ``original``. Other photos stay as they are.
+    A parent named twice gives two rows with one key, of which the first loads and the other is a reject.
     """
     several = F.size("members") > 1
     return (

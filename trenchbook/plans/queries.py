@@ -128,6 +128,15 @@ class Site:
             "bag_keys", lambda: publish.load_copies(self.raw("bag"), BAG_SCHEMA)
         )
 
+    def repeated_values(self, name: str, schema: TableSchema, site_wide: bool = False) -> DataFrame:
+        """Values that rows of a recording table share in a unique column."""
+        return self.stages.table(
+            f"{name}_values",
+            lambda: quality.repeated_values(
+                quality.missing_values(self.raw(name), schema), schema, "Source", site_wide
+            ),
+        )
+
     def geo(self) -> DataFrame:
         repeated = self.stages.table(
             "master_keys", lambda: geo.repeated_keys(self.master(), "IdentifierUUID")
@@ -159,9 +168,12 @@ class Site:
         return self.stages.table("phased", self.make_phased)
 
     def violations(self) -> dict[str, DataFrame]:
+        tables = {"pottery": ("bag", BAG_SCHEMA), "sample_bag": ("sample", SAMPLE_SCHEMA)}
         return {
-            "pottery": quality.violations(self.raw("bag"), BAG_SCHEMA, "Source"),
-            "sample_bag": quality.violations(self.raw("sample"), SAMPLE_SCHEMA, "Source"),
+            name: quality.violations(
+                self.raw(raw), schema, "Source", repeated=self.repeated_values(raw, schema)
+            )
+            for name, (raw, schema) in tables.items()
         }
 
 
@@ -237,10 +249,11 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "check_type": _by_code(quality.TYPE, "bag", BAG_SCHEMA),
     "check_type_datetime": _by_code(quality.TYPE, "context", CONTEXT_SCHEMA),
     "check_unique": lambda s: quality.check_unique(
-        s.raw("sample"), SAMPLE_SCHEMA, "Source"
+        s.raw("sample"), SAMPLE_SCHEMA, "Source", repeated=s.repeated_values("sample", SAMPLE_SCHEMA)
     ).select(*FOUND),
     "check_unique_site": lambda s: quality.check_unique(
-        s.raw("context_again"), CONTEXT_SCHEMA, "Source", site_wide=True
+        s.raw("context_again"), CONTEXT_SCHEMA, "Source", site_wide=True,
+        repeated=s.repeated_values("context_again", CONTEXT_SCHEMA, site_wide=True),
     ).select(*FOUND),
     "missing_values": _missing,
     "violation_report": lambda s: quality.violation_report(s.violations()["sample_bag"]),

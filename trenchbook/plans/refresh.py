@@ -82,26 +82,35 @@ class Refresh:
         routed = exports.route_type(files, config.EXPORT_SCHEMAS, "schema").withColumn(
             "type", exports.by_ending(F.regexp_replace("file_name", "tab$", "csv"), config.RECORD_TYPES)
         )
-        self.issues["file_coverage"] = exports.file_coverage(routed, "schema")
-        # Names only; the driver holds the same list to plan the scans.
+        # Paths only; the driver holds the same list to plan the scans.
         listed = routed.filter(F.col("schema").isNotNull()).select("schema", "type", "path").collect()
         self.types: dict[str, TableSchema] = {}
-        headers, checks, counts = [], {}, []
+        headers, looked, checks, counts = [], [], {}, []
         for schema_name, type_name in sorted({(r.schema, r.type) for r in listed}):
             paths = sorted(r.path for r in listed if r.schema == schema_name)
             schema = self.schema(schema_name)
-            rows, problems = exports.read_type(self.spark, paths, schema)
-            if problems is not None:
-                headers.append(problems)
+            surveyed = self.work.table(
+                f"survey/{type_name}",
+                lambda paths=paths: exports.survey_files(self.spark, paths),
+            )
+            headers.append(exports.header_problems(surveyed, schema))
+            looked.append(exports.missing_columns(surveyed, schema))
+            rows = exports.read_type(self.spark, surveyed, schema)
             if rows is None:
                 continue
             self.types[type_name] = schema
             rows = self.tables.table(f"types/{type_name}", lambda rows=rows: rows)
-            found = quality.violations(rows, schema)
-            checks[type_name] = exports.line_numbers(found, rows)
+            found = self.violations(type_name, rows, schema)
+            checks[type_name] = exports.record_numbers(found, rows)
             counts.append(quality.violation_counts(rows, found))
         if headers:
             self.issues["headers"] = reduce(DataFrame.unionByName, headers)
+            self.issues["file_coverage"] = exports.file_coverage(
+                routed, reduce(DataFrame.unionByName, looked), "schema"
+            )
+            self.issues["file_coverage_counts"] = exports.coverage_counts(
+                self.issues["file_coverage"], "schema"
+            )
         if checks:
             violations = self.tables.table("violations", lambda: quality.all_violations(checks))
             self.issues["violations"] = violations
@@ -117,12 +126,26 @@ class Refresh:
             )
         if "Pottery" in self.types:
             self.issues["pottery_violations_site"] = quality.pottery_violations(
-                quality.violations(
-                    self.type_table("Pottery"), self.types["Pottery"],
+                self.violations(
+                    "Pottery_site", self.type_table("Pottery"), self.types["Pottery"],
                     site_wide=True, carry=quality.POTTERY_CARRY,
                 ),
                 site_wide=True,
             )
+            self.issues["pottery_violations_site"] = exports.record_numbers(
+                self.issues["pottery_violations_site"], self.type_table("Pottery")
+            )
+
+    def violations(self, name: str, rows: DataFrame, schema: TableSchema, **how) -> DataFrame:
+        """Violations of a table, its repeated values written first, so that they are joined with their size known."""
+        repeated = None
+        if any(f.unique for f in schema.fields):
+            scope = {k: v for k, v in how.items() if k in ("source_file", "site_wide")}
+            repeated = self.work.table(
+                f"copies/values/{name}",
+                lambda: quality.repeated_values(quality.missing_values(rows, schema), schema, **scope),
+            )
+        return quality.violations(rows, schema, repeated=repeated, **how)
 
     def type_table(self, name: str) -> DataFrame:
         """Site-wide table of a record type; empty when the site has none."""
@@ -152,9 +175,11 @@ class Refresh:
         )
         self.issues["asu_no_parent"] = contexts.asu_no_parent(master)
         self.issues["context_counts"] = contexts.context_counts(master)
-        self.issues["all_context_violations"] = quality.violations(
-            master, self.schema(config.PUBLISHED_TABLES["all_context"]), "Source", site_wide=True
+        found = self.violations(
+            "all_context", master, self.schema(config.PUBLISHED_TABLES["all_context"]),
+            source_file="Source", site_wide=True,
         )
+        self.issues["all_context_violations"] = exports.record_numbers(found, master)
         index = tables.table(
             "key_index",
             lambda: contexts.key_index(

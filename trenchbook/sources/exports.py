@@ -27,7 +27,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.tab") -> Data
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(folder)
-        .select("path")
+        .select(_decoded("_metadata.file_path").alias("path"))
     )
     return listed.withColumn("file_name", F.substring_index("path", "/", -1))
 
@@ -41,11 +41,30 @@ def route_type(
     )
 
 
-def file_coverage(routed: DataFrame, column: str = "target") -> DataFrame:
-    """Each file with what it is routed to, or "no schema"."""
-    return routed.select(
-        "file_name", F.coalesce(F.col(column), F.lit("no schema")).alias(column)
+def file_coverage(
+    routed: DataFrame, surveyed: DataFrame | None = None, column: str = "target"
+) -> DataFrame:
+    """Each file with what it is routed to and its state: (file_name, column, state).
+
+    "no schema"; "empty", without a header line; "failed", without a column of its schema; or "stripped".
+    ``surveyed`` has (path, n_missing) of the files that were looked into.
+    """
+    known = F.coalesce(F.col(column), F.lit("no schema"))
+    if surveyed is None:
+        return routed.select("file_name", known.alias(column))
+    state = (
+        F.when(F.col(column).isNull(), "no schema")
+        .when(F.col("n_missing").isNull(), "empty")
+        .when(F.col("n_missing") > 0, "failed")
+        .otherwise("stripped")
     )
+    found = routed.join(surveyed.select("path", "n_missing"), "path", "left")
+    return found.select("file_name", known.alias(column), state.alias("state"))
+
+
+def coverage_counts(coverage: DataFrame, column: str = "target") -> DataFrame:
+    """Files of each schema and state: (column, state, n_files)."""
+    return coverage.groupBy(column, "state").agg(F.count("*").alias("n_files"))
 
 
 def source_from_file(files: DataFrame) -> DataFrame:
@@ -145,10 +164,11 @@ def type_row_counts(rows: DataFrame, column: str = "Type") -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("n_rows"))
 
 
-def line_numbers(found: DataFrame, rows: DataFrame) -> DataFrame:
-    """Violations with the line their row has in its file, the header being line 1.
+def record_numbers(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Violations with ``record``, the number of their row's record in its file, the header being record 1.
 
-    Only one row per block of a file is needed for that, whatever the file's size.
+    A record over several lines counts once. Only one row per block of a file is needed for that,
+    whatever the file's size. ``rows`` holds every row of the files.
     """
     blocks = rows.groupBy("seq.path", "seq.block").agg(
         F.min("seq.row").alias("first_row"), F.count("*").alias("n_rows")
@@ -164,32 +184,38 @@ def line_numbers(found: DataFrame, rows: DataFrame) -> DataFrame:
     return (
         found.withColumns({"path": F.col("row.path"), "block": F.col("row.block")})
         .join(starts.hint("rebalance"), ["path", "block"])
-        .withColumn("line", F.col("row.row") + F.col("shift"))
+        .withColumn("record", F.col("row.row") + F.col("shift"))
         .drop("path", "block", "shift")
     )
 
 
+def missing_columns(surveyed: DataFrame, schema: TableSchema) -> DataFrame:
+    """Surveyed files with ``n_missing``, how many columns of the schema their header lacks."""
+    names = F.array(*[F.lit(n) for n in schema.names])
+    return surveyed.withColumn("n_missing", F.size(F.array_except(names, F.col("header"))))
+
+
 def read_type(
-    spark: SparkSession, paths: list[str], schema: TableSchema, separator: str = "\t"
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """Site-wide table of one type from its files, and the header violations of files left out.
+    spark: SparkSession, surveyed: DataFrame, schema: TableSchema, separator: str = "\t"
+) -> DataFrame | None:
+    """Site-wide table of one type from its surveyed files; None when no file has all columns.
 
     Files with the same header, and as splittable as each other, are read in one
-    scan. The driver sees paths and headers only.
+    scan. The driver sees distinct headers and the paths that a scan is told, never a header per file.
     """
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for path, header, spans_lines in survey_files(spark, paths, separator).collect():
-        groups.setdefault((tuple(header), spans_lines), []).append(path)
-    tables, problems = [], []
-    for (header, spans_lines), files in groups.items():
-        if set(schema.names) - set(header):
-            problems += [
-                check_header(spark, list(header), schema, path.rsplit("/", 1)[-1]) for path in files
-            ]
-        else:
-            rows = scan_exports(spark, files, list(header), separator, spans_lines)
-            tables.append(strip_columns(rows, schema))
-    return (
-        concat_type(tables) if tables else None,
-        reduce(DataFrame.unionByName, problems) if problems else None,
-    )
+    usable = missing_columns(surveyed, schema).where("n_missing = 0")
+    kind = F.md5(F.concat_ws("\n", "header", F.col("spans_lines").cast("string"))).alias("kind")
+    files: dict[str, list[str]] = {}
+    for r in usable.select(kind, "path").toLocalIterator():
+        files.setdefault(r.kind, []).append(r.path)
+    tables = []
+    for r in usable.select(kind, "header", "spans_lines").distinct().orderBy("kind").collect():
+        rows = scan_exports(spark, sorted(files[r.kind]), r.header, separator, r.spans_lines)
+        tables.append(strip_columns(rows, schema))
+    return concat_type(tables) if tables else None
+
+
+def header_problems(surveyed: DataFrame, schema: TableSchema) -> DataFrame:
+    """Header violations of the surveyed files that lack a column and are left out."""
+    failed = missing_columns(surveyed, schema).where("n_missing > 0")
+    return check_header(failed.select(F.substring_index("path", "/", -1).alias("source_file"), "header"), schema)
