@@ -136,9 +136,13 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
         documents.where("text is not null")
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
         .join(picked, "doc_id")
+        # one row for each picked document reaches the driver, however often a doc_id repeats
+        .groupBy("doc_id", "quality", "draw")
+        .agg(F.count("*").alias("copies"), F.min("text").alias("text"))
+        .where("copies = 1")
         .toPandas()
+        .sort_values(["draw", "doc_id"])
     )
-    rows = rows.drop_duplicates("doc_id", keep=False).sort_values(["draw", "doc_id"])
     return fit(rows["text"].tolist(), [int(q) for q in rows["quality"]])
 
 
