@@ -33,6 +33,8 @@ WEIGHT = 4
 ONE_CHANGE = 8
 BLOCK_BYTES = 4 << 20
 CHUNK = 1 << 20
+#: Hits of seeds held at once.
+PAIRS = 1 << 21
 GAPS = gaps_but(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 
 
@@ -79,12 +81,28 @@ def prepare(ids: list[int], texts: list[str]) -> Items:
     return Items(np.array(ids, np.int64), np.concatenate(([0], np.cumsum(n))), hashes, seeds[order], places[order], short)
 
 
-def _pairs(sought: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every match of a value with a sorted table: place of the value, place in the table."""
+def _pairs(sought: np.ndarray, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every match of a value with a sorted table: place of the value, place in the table; about PAIRS at a time."""
     low, high = np.searchsorted(table, sought), np.searchsorted(table, sought, "right")
-    n = high - low
-    at = np.repeat(np.arange(len(sought)), n)
-    return at, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+    met = np.flatnonzero(high > low)
+    share = np.cumsum(high[met] - low[met]) // PAIRS
+    for part in np.split(met, np.flatnonzero(np.diff(share)) + 1):
+        n = high[part] - low[part]
+        yield np.repeat(part, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[part], n)
+
+
+def _lines(hits: Iterator[tuple[np.ndarray, np.ndarray]], text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Distinct (text, item, shift) of hits (word in the documents, word in the items).
+
+    Frequent words hit often but on few diagonals, so hits are reduced to these as they come.
+    """
+    lines, waiting = np.zeros((0, 3), np.int64), [np.zeros((0, 3), np.int64)]
+    for place, word in hits:
+        item = np.searchsorted(offsets, word, "right") - 1
+        waiting.append(np.unique(np.stack((text[place], item, place - word), axis=1), axis=0))
+        if sum(map(len, waiting)) > PAIRS:
+            lines, waiting = np.unique(np.concatenate([lines, *waiting]), axis=0), []
+    return np.unique(np.concatenate([lines, *waiting]), axis=0)
 
 
 def overlaps(hashes: np.ndarray, text: np.ndarray, first: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
@@ -92,20 +110,17 @@ def overlaps(hashes: np.ndarray, text: np.ndarray, first: np.ndarray, items: Ite
 
     first: number of the first word of each text, and the end.
     """
-    hits = []
-    for mask in MASKS:
-        seed, at = _seeds(hashes, text, mask)
-        i, j = _pairs(seed, items.seeds)
-        hits.append(np.stack((at[i], items.places[j])))
-    for length, (table, places) in items.short.items():
-        seed, at = _seeds(hashes, text, "1" * length)
-        i, j = _pairs(seed, table)
-        hits.append(np.stack((at[i], places[j])))
-    found = np.concatenate(hits, axis=1)
-    item = np.searchsorted(items.offsets, found[1], "right") - 1
-    lines = np.unique(np.stack((text[found[0]], item, found[0] - found[1]), axis=1), axis=0)
+    tables = [(mask, items.seeds, items.places) for mask in MASKS]
+    tables += [("1" * length, *table) for length, table in items.short.items()]
+
+    def hits() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for mask, table, places in tables:
+            seed, at = _seeds(hashes, text, mask)
+            for i, j in _pairs(seed, table):
+                yield at[i], places[j]
+
     out = []
-    for d, k, shift in lines.tolist():
+    for d, k, shift in _lines(hits(), text, items.offsets).tolist():
         a, b = items.offsets[k], items.offsets[k + 1]
         span = min(WINDOW, b - a)
         low, high = max(a, first[d] - shift), min(b, first[d + 1] - shift)
@@ -159,16 +174,17 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BL
     Words are runs of letters, digits and characters beyond ASCII, A-Z taken as a-z. Items of fewer than
     13 words must stand whole, those of 8 or more with one word replaced at most, shorter ones unchanged.
 
-    Null or empty texts and items have no words and match nothing. Rows that repeat are each judged alike, repeated
-    items are named each. A null doc_id is allowed, items without item_id are left out. Other columns are passed on
+    Null or empty texts and items have no words and match nothing. Rows that repeat are each judged alike; a repeated
+    item, of one item_id and text, counts once. A null doc_id is allowed, items without item_id are left out. Other columns are passed on
     inside ``row``; an empty table, or an empty benchmark, gives no spans.
     """
-    blocks = blocks_for(benchmark, "text", block_bytes)
-    asked = benchmark.where("item_id is not null and text is not null").select(
-        F.col("item_id").cast("long").alias("item_id"),
-        F.col("text").cast("string").alias("text"),
-        F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block"),
+    named = benchmark.select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     )
+    # distinct, so that no item repeats in a block
+    asked = named.where("item_id is not null and text is not null").distinct()
+    blocks = blocks_for(asked, "text", block_bytes)
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     kind = "array<struct<item_id:bigint,start:bigint,end:bigint,equal:bigint>>"
     rows = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
