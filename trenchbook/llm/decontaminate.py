@@ -94,15 +94,15 @@ def _pairs(sought: np.ndarray, table: np.ndarray) -> Iterator[tuple[np.ndarray,
 def _lines(hits: Iterator[tuple[np.ndarray, np.ndarray]], text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Distinct (text, item, shift) of hits (word in the documents, word in the items).
 
-    Frequent words hit often but on few diagonals, so hits are reduced to these as they come.
+    Frequent words hit often but on few diagonals, so many hits are reduced to these as they come.
     """
-    lines, waiting = np.zeros((0, 3), np.int64), [np.zeros((0, 3), np.int64)]
+    found, held = [np.zeros((0, 3), np.int64)], 0
     for place, word in hits:
-        item = np.searchsorted(offsets, word, "right") - 1
-        waiting.append(np.unique(np.stack((text[place], item, place - word), axis=1), axis=0))
-        if sum(map(len, waiting)) > PAIRS:
-            lines, waiting = np.unique(np.concatenate([lines, *waiting]), axis=0), []
-    return np.unique(np.concatenate([lines, *waiting]), axis=0)
+        found.append(np.stack((text[place], np.searchsorted(offsets, word, "right") - 1, place - word), axis=1))
+        held += len(place)
+        if held > PAIRS:
+            found, held = [np.unique(np.concatenate(found), axis=0)], 0
+    return np.unique(np.concatenate(found), axis=0)
 
 
 def overlaps(hashes: np.ndarray, text: np.ndarray, first: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
