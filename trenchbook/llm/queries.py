@@ -12,6 +12,8 @@ from trenchbook.llm.fingerprint import compare_with_next
 from trenchbook.llm.license_scan import scan_licenses
 from trenchbook.llm.near_dedup import near_duplicates
 from trenchbook.llm.packing import pack
+from trenchbook.llm.prefix_trie import borrow_heads, placed, trie_of, turn_rows
+from trenchbook.llm.store import Store
 from trenchbook.llm.suffix_dedup import remove_repeats
 from trenchbook.llm.token_count import count_tokens
 
@@ -125,6 +127,13 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the conversations, each with up to three first turns of the one its number rounds down to."""
+    store = Store(spark, "trie")
+    turns, conversations = borrow_heads(placed(turn_rows(_table(spark, sf_dir, "conversations")), store))
+    return trie_of(turns, conversations, store)
+
+
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_token_count": token_count,
@@ -136,6 +145,7 @@ QUERIES = {
     "op8_packing": packing,
     "op9_chat_format": chat_format,
     "op10_decontaminate": decontaminate,
+    "op11_prefix_trie": prefix_trie,
 }
 ORACLE_SQL = {
     "op4_line_dedup": line_dedup.SQL,
