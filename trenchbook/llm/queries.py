@@ -9,6 +9,7 @@ from trenchbook.llm import line_dedup, quality
 from trenchbook.llm.chat_format import format_conversations, read_back
 from trenchbook.llm.decontaminate import find_leaks
 from trenchbook.llm.fingerprint import compare_with_next
+from trenchbook.llm.jaccard_join import jaccard_components
 from trenchbook.llm.license_scan import scan_licenses
 from trenchbook.llm.near_dedup import near_duplicates
 from trenchbook.llm.packing import pack
@@ -134,6 +135,11 @@ def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_of(turns, conversations, store)
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of similar documents by an exact join on five-word shingles."""
+    return jaccard_components(_table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_token_count": token_count,
@@ -146,6 +152,7 @@ QUERIES = {
     "op9_chat_format": chat_format,
     "op10_decontaminate": decontaminate,
     "op11_prefix_trie": prefix_trie,
+    "op13_jaccard_join": jaccard_join,
 }
 ORACLE_SQL = {
     "op4_line_dedup": line_dedup.SQL,
