@@ -146,31 +146,41 @@ def _qualifying(percent: int):
     return run
 
 
-def _union(column: str):
+def _union(table: pa.Table) -> pa.Table:
     """One row for each group, of at most about ``GROUP`` documents: the union of their tokens."""
-
-    def run(table: pa.Table) -> pa.Table:
-        tokens = np.unique(np.concatenate([_set(b) for b in table.column(column)]))
-        out = {c: table.column(c).slice(0, 1) for c in ("root", "grp") if c in table.schema.names}
-        return pa.table(out | {"union": pa.array([tokens.tobytes()], pa.binary())})
-
-    return run
+    tokens = np.unique(np.concatenate([_set(b) for b in table.column("tokens")]))
+    return pa.table({"grp": table.column("grp").slice(0, 1), "union": pa.array([tokens.tobytes()], pa.binary())})
+
+
+def _matrix_rows(table: pa.Table) -> pa.Table:
+    """A row for each token that a group keeps, with its first place in any member's order."""
+    sets = [_set(b) for b in table.column("rare")]
+    tokens = np.concatenate(sets)
+    places = np.concatenate([np.arange(len(s)) for s in sets])
+    order = np.lexsort((places, tokens))
+    tokens, places = tokens[order], places[order]
+    first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    same = pa.array(np.zeros(len(first), np.int64))
+    return pa.table(
+        {"token": pa.array(tokens[first].view(np.int64)), "place": pa.array(places[first])}
+        | {c: table.column(c).take(same) for c in ("root", "grp")}
+    )
 
 
-def _exploded(column: str, keep: list[str], percent: int | None = None):
-    """A row for each token of a packed set; with ``percent``, only of those that a query asks for."""
+def _exploded(keep: list[str], percent: int | None = None):
+    """A row for each token that a set keeps, with its place there; with ``percent``, only of those that a query asks for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sets = [_set(b) for b in batch.column(column)]
+            sets = [_set(b) for b in batch.column("rare")]
             if percent is not None:
                 n = np.asarray(batch.column("n").to_numpy())
                 asked = n - _least_overlap(n, percent)[0] + 1
                 sets = [s[:k] for s, k in zip(sets, asked, strict=True)]
             row = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
-            out = {"token": pa.array(np.concatenate(sets).view(np.int64))}
+            out = {"token": pa.array(np.concatenate(sets).view(np.int64)), "place": pa.array(np.concatenate([np.arange(len(s)) for s in sets]))}
             yield pa.record_batch(out | {c: batch.column(c).take(row) for c in keep})
 
     return run
@@ -261,49 +271,53 @@ def _grouped(spark, texts, described, member, reps, width, percent, store) -> Da
             F.coalesce("groups", F.lit(0)).alias("groups"), F.coalesce("grp", F.lit(0)).alias("grp"),
         )
     )
-    single, several = placed.where("groups = 0"), placed.where("groups > 0")
-    unions = store.keep(
-        several.select("root", "grp", "rare").groupBy("root", "grp").applyInArrow(_union("rare"), "root long, grp long, union binary")
-    )
     # The matrix: tokens of components, and within components of several groups, of groups.
-    by_group = unions.mapInArrow(_exploded("union", ["root", "grp"]), "token long, root long, grp long")
+    single, several = placed.where("groups = 0"), placed.where("groups > 0")
+    by_group = store.keep(
+        several.select("root", "grp", "rare").groupBy("root", "grp")
+        .applyInArrow(_matrix_rows, "token long, place long, root long, grp long")
+    )
+    low_high = F.min("n").alias("low"), F.max("n").alias("high")
+    spans = several.groupBy("root").agg(*low_high)
+    at_root = by_group.groupBy("token", "root").agg(F.min("place").alias("place")).join(spans.hint("rebalance"), "root")
     by_root = (
-        single.select("rare", "root")
-        .mapInArrow(_exploded("rare", ["root"]), "token long, root long")
-        .unionByName(by_group.select("token", "root").distinct())
+        single.select("rare", "root", "n")
+        .mapInArrow(_exploded(["root", "n"]), "token long, place long, root long, n long")
+        .select("token", "root", F.col("place").alias("at"), F.col("n").alias("low"), F.col("n").alias("high"))
+        .unionByName(at_root.select("token", "root", F.col("place").alias("at"), "low", "high"))
     )
     queries = placed.select("doc_id", "n", "rare", F.col("root").alias("own")).mapInArrow(
-        _exploded("rare", ["doc_id", "own"], percent), "token long, doc_id long, own long"
+        _exploded(["doc_id", "own", "n"], percent), "token long, place long, doc_id long, own long, n long"
+    )
+    # A pair is found from its smaller set, and by the first token it shares: what comes before that, on either side, isn't shared.
+    whole = 100 + percent
+    may_link = (
+        (F.col("high") >= F.col("n"))
+        & (percent * F.col("low") <= 100 * F.col("n"))
+        & (whole * (F.col("n") - F.col("place")) >= percent * (F.col("n") + F.greatest("low", "n")))
+        & (100 * F.col("high") >= percent * F.col("n") + whole * F.col("at"))
     )
-    hits = queries.join(by_root, "token").where("own <> root").select("token", "doc_id", "root").distinct()
-    hits = store.keep(hits)
+    hits = queries.join(by_root, "token").where((F.col("own") != F.col("root")) & may_link)
+    hits = store.keep(hits.select("token", "place", "doc_id", "n", "root").distinct())
     large = sizes.where("groups > 1").select("root")
-    wide = by_group.join(large.hint("rebalance"), "root", "left_semi")
-    groups = store.keep(
-        placed.groupBy("root", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-        .select("root", "grp", "low", "high")
-    )
+    wide = by_group.join(large.hint("rebalance"), "root", "left_semi").select("token", "root", "grp", F.col("place").alias("at"))
+    spans = placed.where("groups > 1").groupBy("root", "grp").agg(*low_high)
+    wide = wide.join(spans.hint("rebalance"), ["root", "grp"])
     apart = hits.join(large.hint("rebalance"), "root", "left_anti").select("doc_id", "root", F.lit(0).cast("long").alias("grp"))
-    within = hits.join(wide, ["token", "root"]).select("doc_id", "root", "grp")
-    found = apart.unionByName(within).distinct()
-    # A pair is found from its smaller set.
+    within = hits.join(wide, ["token", "root"]).where(may_link).select("doc_id", "root", "grp")
     candidates = store.keep(
-        found.join(groups, ["root", "grp"])
-        .join(reps.select("doc_id", "n").distinct(), "doc_id")
-        .where((F.col("high") >= F.col("n")) & (percent * F.col("low") <= 100 * F.col("n")))
-        .select(F.col("doc_id").alias("a"), F.struct("root", "grp").alias("grp"))
-        .distinct()
+        apart.unionByName(within).distinct().select(F.col("doc_id").alias("a"), F.struct("root", "grp").alias("grp"))
     )
     wanted = candidates.select("grp").distinct()
     members = store.keep(
         placed.select("doc_id", "n", F.struct("root", "grp").alias("grp")).join(wanted.hint("rebalance"), "grp", "left_semi")
     )
     sets = sets_of(candidates.select(F.col("a").alias("doc_id")).unionByName(members.select("doc_id")))
-    whole = store.keep(
+    unions = store.keep(
         members.select("doc_id", "grp").distinct().join(sets, "doc_id").select("grp", "tokens")
-        .groupBy("grp").applyInArrow(_union("tokens"), "grp struct<root:long,grp:long>, union binary")
+        .groupBy("grp").applyInArrow(_union, "grp struct<root:long,grp:long>, union binary")
     )
-    bounded = candidates.join(sets.select(F.col("doc_id").alias("a"), "tokens"), "a").join(whole, "grp")
+    bounded = candidates.join(sets.select(F.col("doc_id").alias("a"), "tokens"), "a").join(unions, "grp")
     opened = store.keep(
         bounded.select("a", "grp", "tokens", "union").mapInArrow(_qualifying(percent), "a long, grp struct<root:long,grp:long>")
     )
