@@ -167,6 +167,21 @@ def _matrix_rows(table: pa.Table) -> pa.Table:
     )
 
 
+def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return mix(np.asarray(batch.column("doc_id").to_numpy()).view(np.uint64)), np.ones(batch.num_rows)
+
+
+def _some_of(texts: DataFrame, sketch: np.ndarray) -> DataFrame:
+    """Texts of the documents in a sketch, and perhaps some others."""
+    shared = texts.sparkSession.sparkContext.broadcast(sketch)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(estimate(shared.value, _ids(batch)[0]) > 0))
+
+    return texts.where("doc_id is not null").mapInArrow(run, "doc_id long, text string")
+
+
 def _exploded(keep: list[str], percent: int | None = None):
     """A row for each token that a set keeps, with its place there; with ``percent``, only of those that a query asks for."""
 
@@ -211,25 +226,20 @@ def jaccard_components(
             "doc_id long, n long, set_a long, set_b long, mins array<long>, rare binary",
         )
     )
-    real = described.where("doc_id is not null and n > 0")
+    real = described.where("doc_id is not null and n > 0").drop("rare")
     classes = real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
     in_class = real.join(classes.hint("rebalance"), ["set_a", "set_b"])
     member = store.keep(in_class.select("doc_id", "rep").distinct())
     # one row for each class; a document with several texts may stand for several
     reps = store.keep(
-        in_class.where("doc_id = rep").dropDuplicates(["set_a", "set_b"]).select(
-            F.xxhash64("set_a", "set_b").alias("cls"), "doc_id", "n", "mins", "rare", "set_a", "set_b"
-        )
+        in_class.where("doc_id = rep").dropDuplicates(["set_a", "set_b"]).select("doc_id", "n", "mins", "set_a", "set_b")
     )
-    return _grouped(spark, texts, described, member, reps, width, percent, store)
-
-
-def _grouped(spark, texts, described, member, reps, width, percent, store) -> DataFrame:
-    """Components of the classes, and with them those of all rows."""
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        """Whole sets of the documents asked for; of one with several texts, their union's classes are kept apart by row."""
-        asked = texts.join(ids.select("doc_id").distinct().hint("rebalance"), "doc_id", "left_semi")
+        """Whole sets of the documents asked for. A sketch of their numbers leaves most others out before texts are moved."""
+        ids = store.keep(ids.distinct())
+        sketch = count_sketch(ids, _ids, bits_for(ids.count()), 1)
+        asked = _some_of(texts, sketch).join(ids.hint("rebalance"), "doc_id", "left_semi")
         return store.keep(asked.mapInArrow(_whole_sets(width), "doc_id long, tokens binary"))
 
     def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -263,14 +273,12 @@ def _grouped(spark, texts, described, member, reps, width, percent, store) -> Da
     dealt = join_lookup(stars, sizes, "root").select(
         F.col("node").alias("doc_id"), "root", "groups", F.pmod(F.xxhash64("node"), F.col("groups")).alias("grp")
     )
-    placed = store.keep(
-        reps.drop("mins", "set_a", "set_b", "cls")
-        .join(dealt.hint("rebalance"), "doc_id", "left")
-        .select(
-            "doc_id", "n", "rare", F.coalesce("root", "doc_id").alias("root"),
-            F.coalesce("groups", F.lit(0)).alias("groups"), F.coalesce("grp", F.lit(0)).alias("grp"),
-        )
+    whose = reps.select("doc_id", "set_a", "set_b").join(dealt.hint("rebalance"), "doc_id", "left").select(
+        "doc_id", "set_a", "set_b", F.coalesce("root", "doc_id").alias("root"),
+        F.coalesce("groups", F.lit(0)).alias("groups"), F.coalesce("grp", F.lit(0)).alias("grp"),
     )
+    kept = described.where("doc_id is not null").select("doc_id", "set_a", "set_b", "n", "rare")
+    placed = store.keep(kept.join(whose.hint("rebalance"), ["doc_id", "set_a", "set_b"]).drop("set_a", "set_b"))
     # The matrix: tokens of components, and within components of several groups, of groups.
     single, several = placed.where("groups = 0"), placed.where("groups > 0")
     by_group = store.keep(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trenchbook.llm import line_dedup, quality
+from trenchbook.llm import collocations, line_dedup, quality
 from trenchbook.llm.chat_format import format_conversations, read_back
 from trenchbook.llm.decontaminate import find_leaks
 from trenchbook.llm.fingerprint import compare_with_next
@@ -135,6 +135,11 @@ def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_of(turns, conversations, store)
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of each language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of similar documents by an exact join on five-word shingles."""
     return jaccard_components(_table(spark, sf_dir, "documents"), width=5, percent=80)
@@ -152,8 +157,10 @@ QUERIES = {
     "op9_chat_format": chat_format,
     "op10_decontaminate": decontaminate,
     "op11_prefix_trie": prefix_trie,
+    "op12_phrase_collocations": phrase_collocations,
     "op13_jaccard_join": jaccard_join,
 }
 ORACLE_SQL = {
     "op4_line_dedup": line_dedup.SQL,
+    "op12_phrase_collocations": collocations.SQL,
 }
