@@ -31,11 +31,11 @@ from trenchbook.llm.store import Store
 LONGEST, LEAST, TOP = 4, 30, 2000
 SCALE, COVERED = 2_000_000, 80
 #: Bytes of text in a block, and of all blocks that a task has open at a time.
-BLOCK, OPEN = 8 << 20, 64 << 20
-#: At most 2 * 2**25 one-byte cells are broadcast for either sketch.
-SKETCH_BITS = 25
+BLOCK, OPEN = 4 << 20, 32 << 20
+#: At most 2 * 2**24 one-byte cells are broadcast for either sketch.
+SKETCH_BITS = 24
 #: Suffix rows in a range.
-RANGE = 1 << 20
+RANGE = 1 << 19
 #: Shares that the ranking of a language is dealt to.
 SHARES = 64
 _SPACE = np.array([b == 32 for b in range(256)])
@@ -108,20 +108,21 @@ class _Block:
         return keys, counts, at
 
 
-def _word_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    own = [_Block(row) for row in batch.to_pylist()]
-    return (
-        np.concatenate([b.hashes[1:] for b in own] or [np.zeros(0, np.uint64)]),
-        np.concatenate([b.counts[1:] for b in own] or [np.zeros(0, np.int64)]),
-    )
+def _opened(batch: pa.RecordBatch) -> Iterator[_Block]:
+    """The blocks of a batch, one at a time."""
+    for i in range(batch.num_rows):
+        yield _Block(batch.slice(i, 1).to_pylist()[0])
+
+
+def _word_keys(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for b in _opened(batch):
+        yield b.hashes[1:], b.counts[1:]
 
 
 def _pair_keys(word_sketch, least: int):
-    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        found = [b.pairs(b.frequent(word_sketch.value, least))[:2] for b in map(_Block, batch.to_pylist())]
-        if not found:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found])
+    def run(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for b in _opened(batch):
+            yield b.pairs(b.frequent(word_sketch.value, least))[:2]
 
     return run
 
@@ -130,8 +131,7 @@ def _suffixes(word_sketch, pair_sketch, least: int):
     """Distinct suffixes of each block and their counts; a suffix ends before what is surely rare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
-            b = _Block(row)
+        for b in (b for batch in batches for b in _opened(batch)):
             frequent = b.frequent(word_sketch.value, least)
             keys, _, at = b.pairs(frequent)
             good = np.append(estimate(pair_sketch.value, keys) >= least, False)[at]

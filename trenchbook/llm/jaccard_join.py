@@ -31,7 +31,7 @@ from trenchbook.llm.sketch import bits_for, count_sketch, estimate
 from trenchbook.llm.store import Store
 
 MINS, GROUP = 4, 64
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: At most 2**22 cells of four bytes are broadcast.
 SKETCH_BITS = 22
 GAPS = gaps_but(r"[^\x20\x09-\x0D]")
@@ -50,9 +50,9 @@ def token_sets(column, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _tokens_of(width: int):
-    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        tokens = np.concatenate([t for t, _ in token_sets(batch.column("text"), width)] or [np.zeros(0, np.uint64)])
-        return tokens, np.ones(len(tokens))
+    def run(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for tokens, _ in token_sets(batch.column("text"), width):
+            yield tokens, np.ones(len(tokens))
 
     return run
 
@@ -167,8 +167,12 @@ def _matrix_rows(table: pa.Table) -> pa.Table:
     )
 
 
-def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return mix(np.asarray(batch.column("doc_id").to_numpy()).view(np.uint64)), np.ones(batch.num_rows)
+def _id_keys(batch: pa.RecordBatch) -> np.ndarray:
+    return mix(np.asarray(batch.column("doc_id").to_numpy()).view(np.uint64))
+
+
+def _ids(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    yield _id_keys(batch), np.ones(batch.num_rows)
 
 
 def _some_of(texts: DataFrame, sketch: np.ndarray) -> DataFrame:
@@ -177,7 +181,7 @@ def _some_of(texts: DataFrame, sketch: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(estimate(shared.value, _ids(batch)[0]) > 0))
+            yield batch.filter(pa.array(estimate(shared.value, _id_keys(batch)) > 0))
 
     return texts.where("doc_id is not null").mapInArrow(run, "doc_id long, text string")
 
@@ -186,9 +190,8 @@ def _exploded(keep: list[str], percent: int | None = None):
     """A row for each token that a set keeps, with its place there; with ``percent``, only of those that a query asks for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        parts = (batch.slice(low, 1000) for batch in batches for low in range(0, batch.num_rows, 1000))
+        for batch in parts:
             sets = [_set(b) for b in batch.column("rare")]
             if percent is not None:
                 n = np.asarray(batch.column("n").to_numpy())
@@ -201,6 +204,86 @@ def _exploded(keep: list[str], percent: int | None = None):
     return run
 
 
+def _sized(small, large, percent: int):
+    return 100 * F.least(small, large) >= percent * F.greatest(small, large)
+
+
+def in_groups(stars: DataFrame) -> DataFrame:
+    """Nodes of components (node, root) dealt to groups of about ``GROUP``: (doc_id, root, groups, grp), grp from 0."""
+    sizes = stars.groupBy("root").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    return join_lookup(stars, sizes, "root").select(
+        F.col("node").alias("doc_id"), "root", "groups", F.pmod(F.xxhash64("node"), F.col("groups")).alias("grp")
+    )
+
+
+def links_apart(placed: DataFrame, sets_of, confirmed, percent: int, store: Store) -> DataFrame:
+    """All links (a, b) between documents of different components, by the token-group matrix.
+
+    ``placed`` has (doc_id, n, rare, root, groups, grp), 0 groups for a document that is in no component. ``sets_of`` gives the whole
+    sets (doc_id, tokens) of documents, ``confirmed`` those of some pairs that are links, given their sets.
+    """
+    # The matrix: tokens of components, and within components of several groups, of groups.
+    single, several = placed.where("groups = 0"), placed.where("groups > 0")
+    by_group = store.keep(
+        several.select("root", "grp", "rare").groupBy("root", "grp")
+        .applyInArrow(_matrix_rows, "token long, place long, root long, grp long")
+    )
+    low_high = F.min("n").alias("low"), F.max("n").alias("high")
+    spans = several.groupBy("root").agg(*low_high)
+    at_root = by_group.groupBy("token", "root").agg(F.min("place").alias("place")).join(spans.hint("rebalance"), "root")
+    by_root = (
+        single.select("rare", "root", "n")
+        .mapInArrow(_exploded(["root", "n"]), "token long, place long, root long, n long")
+        .select("token", "root", F.col("place").alias("at"), F.col("n").alias("low"), F.col("n").alias("high"))
+        .unionByName(at_root.select("token", "root", F.col("place").alias("at"), "low", "high"))
+    )
+    queries = placed.select("doc_id", "n", "rare", F.col("root").alias("own")).mapInArrow(
+        _exploded(["doc_id", "own", "n"], percent), "token long, place long, doc_id long, own long, n long"
+    )
+    # A pair is found from its smaller set, and by the first token it shares: what comes before that, on either side, isn't shared.
+    whole = 100 + percent
+    may_link = (
+        (F.col("high") >= F.col("n"))
+        & (percent * F.col("low") <= 100 * F.col("n"))
+        & (whole * (F.col("n") - F.col("place")) >= percent * (F.col("n") + F.greatest("low", "n")))
+        & (100 * F.col("high") >= percent * F.col("n") + whole * F.col("at"))
+    )
+    hits = queries.join(by_root, "token").where((F.col("own") != F.col("root")) & may_link)
+    hits = store.keep(hits.select("token", "place", "doc_id", "n", "root").distinct())
+    large = several.where("groups > 1").select("root").distinct()
+    wide = by_group.join(large.hint("rebalance"), "root", "left_semi").select("token", "root", "grp", F.col("place").alias("at"))
+    spans = placed.where("groups > 1").groupBy("root", "grp").agg(*low_high)
+    wide = wide.join(spans.hint("rebalance"), ["root", "grp"])
+    apart = hits.join(large.hint("rebalance"), "root", "left_anti").select("doc_id", "root", F.lit(0).cast("long").alias("grp"))
+    within = hits.join(wide, ["token", "root"]).where(may_link).select("doc_id", "root", "grp")
+    candidates = store.keep(
+        apart.unionByName(within).distinct().select(F.col("doc_id").alias("a"), F.struct("root", "grp").alias("grp"))
+    )
+    wanted = candidates.select("grp").distinct()
+    members = store.keep(
+        placed.select("doc_id", "n", F.struct("root", "grp").alias("grp")).join(wanted.hint("rebalance"), "grp", "left_semi")
+    )
+    sets = sets_of(candidates.select(F.col("a").alias("doc_id")).unionByName(members.select("doc_id")))
+    unions = store.keep(
+        members.select("doc_id", "grp").distinct().join(sets, "doc_id").select("grp", "tokens")
+        .groupBy("grp").applyInArrow(_union, "grp struct<root:long,grp:long>, union binary")
+    )
+    bounded = candidates.join(sets.select(F.col("doc_id").alias("a"), "tokens"), "a").join(unions, "grp")
+    opened = store.keep(
+        bounded.select("a", "grp", "tokens", "union").mapInArrow(_qualifying(percent), "a long, grp struct<root:long,grp:long>")
+    )
+    pairs = (
+        opened.distinct()
+        .join(members.select("grp", F.col("doc_id").alias("b"), F.col("n").alias("n_b")), "grp")
+        .join(placed.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a")), "a")
+        .where(F.col("n_b") >= F.col("n_a"))
+        .where(_sized(F.col("n_a"), F.col("n_b"), percent))
+        .select("a", "b")
+        .distinct()
+    )
+    return confirmed(pairs, sets)
+
+
 def jaccard_components(
     documents: DataFrame, width: int = 5, percent: int = 80, store: Store | None = None, bits: int | None = None
 ) -> DataFrame:
@@ -247,9 +330,6 @@ def jaccard_components(
             pairs = pairs.join(sets.select(F.col("doc_id").alias(side), F.col("tokens").alias(f"set_{side}")), side)
         return store.keep(pairs.mapInArrow(_linked(percent), "a long, b long").distinct())
 
-    def sized(small, large):
-        return 100 * F.least(small, large) >= percent * F.greatest(small, large)
-
     # Each document with the smallest that shares a smallest hash.
     keys = reps.select("doc_id", "n", F.posexplode("mins").alias("which", "least"))
     leads = (
@@ -260,7 +340,7 @@ def jaccard_components(
     )
     tried = store.keep(
         keys.join(leads.hint("rebalance"), ["which", "least"])
-        .where((F.col("doc_id") > F.col("lead.doc_id")) & sized(F.col("n"), F.col("lead.n")))
+        .where((F.col("doc_id") > F.col("lead.doc_id")) & _sized(F.col("n"), F.col("lead.n"), percent))
         .select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b"))
         .distinct()
     )
@@ -268,77 +348,14 @@ def jaccard_components(
     links = confirmed(tried, sets_of(met))
     stars = store.keep(components(links, store))
 
-    # Groups: documents of one component, about GROUP each. A component of one group has the group's number 0.
-    sizes = stars.groupBy("root").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
-    dealt = join_lookup(stars, sizes, "root").select(
-        F.col("node").alias("doc_id"), "root", "groups", F.pmod(F.xxhash64("node"), F.col("groups")).alias("grp")
-    )
+    dealt = in_groups(stars)
     whose = reps.select("doc_id", "set_a", "set_b").join(dealt.hint("rebalance"), "doc_id", "left").select(
         "doc_id", "set_a", "set_b", F.coalesce("root", "doc_id").alias("root"),
         F.coalesce("groups", F.lit(0)).alias("groups"), F.coalesce("grp", F.lit(0)).alias("grp"),
     )
     kept = described.where("doc_id is not null").select("doc_id", "set_a", "set_b", "n", "rare")
     placed = store.keep(kept.join(whose.hint("rebalance"), ["doc_id", "set_a", "set_b"]).drop("set_a", "set_b"))
-    # The matrix: tokens of components, and within components of several groups, of groups.
-    single, several = placed.where("groups = 0"), placed.where("groups > 0")
-    by_group = store.keep(
-        several.select("root", "grp", "rare").groupBy("root", "grp")
-        .applyInArrow(_matrix_rows, "token long, place long, root long, grp long")
-    )
-    low_high = F.min("n").alias("low"), F.max("n").alias("high")
-    spans = several.groupBy("root").agg(*low_high)
-    at_root = by_group.groupBy("token", "root").agg(F.min("place").alias("place")).join(spans.hint("rebalance"), "root")
-    by_root = (
-        single.select("rare", "root", "n")
-        .mapInArrow(_exploded(["root", "n"]), "token long, place long, root long, n long")
-        .select("token", "root", F.col("place").alias("at"), F.col("n").alias("low"), F.col("n").alias("high"))
-        .unionByName(at_root.select("token", "root", F.col("place").alias("at"), "low", "high"))
-    )
-    queries = placed.select("doc_id", "n", "rare", F.col("root").alias("own")).mapInArrow(
-        _exploded(["doc_id", "own", "n"], percent), "token long, place long, doc_id long, own long, n long"
-    )
-    # A pair is found from its smaller set, and by the first token it shares: what comes before that, on either side, isn't shared.
-    whole = 100 + percent
-    may_link = (
-        (F.col("high") >= F.col("n"))
-        & (percent * F.col("low") <= 100 * F.col("n"))
-        & (whole * (F.col("n") - F.col("place")) >= percent * (F.col("n") + F.greatest("low", "n")))
-        & (100 * F.col("high") >= percent * F.col("n") + whole * F.col("at"))
-    )
-    hits = queries.join(by_root, "token").where((F.col("own") != F.col("root")) & may_link)
-    hits = store.keep(hits.select("token", "place", "doc_id", "n", "root").distinct())
-    large = sizes.where("groups > 1").select("root")
-    wide = by_group.join(large.hint("rebalance"), "root", "left_semi").select("token", "root", "grp", F.col("place").alias("at"))
-    spans = placed.where("groups > 1").groupBy("root", "grp").agg(*low_high)
-    wide = wide.join(spans.hint("rebalance"), ["root", "grp"])
-    apart = hits.join(large.hint("rebalance"), "root", "left_anti").select("doc_id", "root", F.lit(0).cast("long").alias("grp"))
-    within = hits.join(wide, ["token", "root"]).where(may_link).select("doc_id", "root", "grp")
-    candidates = store.keep(
-        apart.unionByName(within).distinct().select(F.col("doc_id").alias("a"), F.struct("root", "grp").alias("grp"))
-    )
-    wanted = candidates.select("grp").distinct()
-    members = store.keep(
-        placed.select("doc_id", "n", F.struct("root", "grp").alias("grp")).join(wanted.hint("rebalance"), "grp", "left_semi")
-    )
-    sets = sets_of(candidates.select(F.col("a").alias("doc_id")).unionByName(members.select("doc_id")))
-    unions = store.keep(
-        members.select("doc_id", "grp").distinct().join(sets, "doc_id").select("grp", "tokens")
-        .groupBy("grp").applyInArrow(_union, "grp struct<root:long,grp:long>, union binary")
-    )
-    bounded = candidates.join(sets.select(F.col("doc_id").alias("a"), "tokens"), "a").join(unions, "grp")
-    opened = store.keep(
-        bounded.select("a", "grp", "tokens", "union").mapInArrow(_qualifying(percent), "a long, grp struct<root:long,grp:long>")
-    )
-    pairs = (
-        opened.distinct()
-        .join(members.select("grp", F.col("doc_id").alias("b"), F.col("n").alias("n_b")), "grp")
-        .join(reps.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a")), "a")
-        .where(F.col("n_b") >= F.col("n_a"))
-        .where(sized(F.col("n_a"), F.col("n_b")))
-        .select("a", "b")
-        .distinct()
-    )
-    more = confirmed(pairs, sets)
+    more = links_apart(placed, sets_of, confirmed, percent, store)
     roots = components(links.unionByName(more).unionByName(_same_document(member)), store)
     found = (
         member.join(roots.select(F.col("node").alias("rep"), "root").hint("rebalance"), "rep", "left")

@@ -208,8 +208,8 @@ def _key(batch: pa.RecordBatch, a: str, b: str) -> np.ndarray:
     return mix(_longs(batch, a).view(np.uint64)) ^ _longs(batch, b).view(np.uint64)
 
 
-def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return _key(batch, "qa", "qb"), np.ones(batch.num_rows)
+def _keys(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    yield _key(batch, "qa", "qb"), np.ones(batch.num_rows)
 
 
 def _screened(rows: DataFrame, sketch: np.ndarray) -> DataFrame:

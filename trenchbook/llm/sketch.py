@@ -21,7 +21,8 @@ from trenchbook.llm.bytework import mix
 BLOCK = 1 << 16
 _SALTS = np.random.default_rng(11).integers(0, 2**63, 8, dtype=np.uint64)
 
-KeysOf = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
+#: Makes keys and their counts of a batch, some at a time.
+KeysOf = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
 
 
 def bits_for(keys: int, per_key: int = 8, most: int = 24) -> int:
@@ -46,23 +47,18 @@ def _kind(top: int):
 
 def _local(keys_of: KeysOf, bits: int, hashes: int, top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((hashes, 1 << bits), np.uint32)
-        for batch in batches:
-            keys, n = keys_of(batch)
-            n = np.minimum(n, top).astype(np.uint32)
+        counts = np.zeros((hashes, 1 << bits), _kind(top))
+        for keys, n in (found for batch in batches for found in keys_of(batch)):
             for row in range(hashes):
-                at = cell(keys, row, bits)
-                np.add.at(counts[row], at, n)
-                if top < 256:  # far from the end of 32 bits only if cut now and then
-                    counts[row][at] = np.minimum(counts[row][at], top)
-        blocks, cells = [], []
+                at, which = np.unique(cell(keys, row, bits), return_inverse=True)
+                total = counts[row][at] + np.bincount(which, np.minimum(n, top), len(at))
+                counts[row][at] = np.minimum(total, top)
         for row in range(hashes):
             for low in range(0, 1 << bits, BLOCK):
-                part = np.minimum(counts[row, low : low + BLOCK], top)
+                part = counts[row, low : low + BLOCK]
                 if part.any():
-                    blocks.append((row << bits | low) // BLOCK)
-                    cells.append(zlib.compress(part.astype(_kind(top)).tobytes(), 1))
-        yield pa.record_batch({"block": pa.array(blocks, pa.int64()), "cells": pa.array(cells, pa.binary())})
+                    block, blob = (row << bits | low) // BLOCK, zlib.compress(part.tobytes(), 1)
+                    yield pa.record_batch({"block": pa.array([block], pa.int64()), "cells": pa.array([blob], pa.binary())})
 
     return run
 
