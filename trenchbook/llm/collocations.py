@@ -31,9 +31,9 @@ from trenchbook.llm.store import Store
 LONGEST, LEAST, TOP = 4, 30, 2000
 SCALE, COVERED = 2_000_000, 80
 #: Bytes of text in a block, and of all blocks that a task has open at a time.
-BLOCK, OPEN = 4 << 20, 32 << 20
-#: At most 2 * 2**24 one-byte cells are broadcast for either sketch.
-SKETCH_BITS = 24
+BLOCK, OPEN = 4 << 20, 16 << 20
+#: At most 2 * 2**23 one-byte cells are broadcast for either sketch.
+SKETCH_BITS = 23
 #: Suffix rows in a range.
 RANGE = 1 << 19
 #: Shares that the ranking of a language is dealt to.
@@ -66,7 +66,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             }
         )
 
-    for batch in batches:
+    for batch in (b.slice(low, 500) for b in batches for low in range(0, b.num_rows, 500)):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             raw = text.encode()
             open_texts.setdefault(lang, []).append(raw)
