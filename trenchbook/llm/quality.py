@@ -6,8 +6,9 @@ labelled texts the dictionaries haven't seen. So a text that repeats itself, and
 from the good ones. A few words say little about a text, so ``PRIOR`` bytes of an average good one are added to each. Pieces are compressed each by itself: within a long text, its own
 beginning would soon tell more than the dictionary. The whole text is scored, and nothing but the text.
 
-The model is fitted on a bounded sample: at most ``PER_CLASS`` rows of either label, chosen by a hash of doc_id,
-and the first ``SAMPLE_CHARS`` characters of each. The labels are read whole to choose them.
+The model is fitted on a bounded sample of labelled rows: at most ``PER_CLASS`` of either label, chosen by a hash of doc_id, and
+of a long text ``DRAWN`` pieces of ``PIECE`` characters, chosen by a hash of their places anywhere in it. The labels are read
+whole to choose the rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PER_CLASS, SAMPLE_CHARS = 3000, 20_000
+PER_CLASS, DRAWN = 3000, 20
 DICTIONARY_BYTES, PIECE, LEVEL = 112 << 10, 1024, 3
 PRIOR = 300
 FOLDS = 5
@@ -115,8 +116,17 @@ def fit(texts: list[str], quality: list[int]) -> Model:
     return Model(good, bad, usual, slope, middle)
 
 
+def drawn_pieces(text: F.Column, draw: F.Column, pieces: int = DRAWN) -> F.Column:
+    """The text, or of a longer one that many pieces of ``PIECE`` characters from anywhere in it, in order."""
+    n = F.ceil(F.length(text) / PIECE).cast("int")
+    places = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.struct(F.xxhash64(draw, i), i.alias("i")))
+    chosen = F.array_sort(F.transform(F.slice(F.array_sort(places), 1, pieces), lambda p: p["i"]))
+    cut = F.transform(chosen, lambda i: F.substr(text, i * PIECE + 1, F.lit(PIECE)))
+    return F.when(n <= pieces, text).otherwise(F.array_join(cut, ""))
+
+
 def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """Model of the labelled documents outside the held-out fold.
+    """Model of the labelled documents outside the held-out fold, from ``per_class`` of either label at most.
 
     Rows without doc_id, label or text don't count, nor do documents that repeat under one id or have labels
     that contradict each other. Without both labels every score is 0.5.
@@ -134,8 +144,9 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     picked = F.broadcast(chosen[0].unionByName(chosen[1]))
     rows = (
         documents.where("text is not null")
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .join(picked, "doc_id")
+        .withColumn("text", drawn_pieces(F.col("text"), F.col("draw")))
         # one row for each picked document reaches the driver, however often a doc_id repeats
         .groupBy("doc_id", "quality", "draw")
         .agg(F.count("*").alias("copies"), F.min("text").alias("text"))
