@@ -4,17 +4,22 @@ import hashlib
 import zlib
 from collections import Counter
 
+import re
+
 import numpy as np
 import pytest
 import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
+from tests.llm.test_contracts import component_ids
 from tests.llm.conftest import LONG, ODD
 from trenchbook.llm import decontaminate, fingerprint, packing, quality, suffix_dedup, token_count
 from trenchbook.llm.chat_format import format_conversations, read_back
 from trenchbook.llm.license_scan import scan_licenses
-from trenchbook.llm.line_dedup import remove_repeated_lines
+from trenchbook.llm.line_dedup import cut_repeated_lines
 from trenchbook.llm.near_dedup import near_duplicates
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -93,12 +98,15 @@ def test_near_dedup_equals_brute_force(spark):
 
 
 def test_line_dedup_odd_rows(docs):
-    rows = remove_repeated_lines(docs(*ODD, (10, "a\nb\nc\nd"), (11, "x\na\nb\nc\nd\n"), (11, "x\na\nb\nc\nd\n"), (12, "q\nq\nq\nq"))).collect()
-    text = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in rows}
+    rows = cut_repeated_lines(docs(*ODD, (10, "a\nb\nc\nd"), (11, "x\na\nb\nc\nd\n"), (11, "x\na\nb\nc\nd\n"), (12, "q\nq\nq\nq"))).collect()
+    text = {r.row.doc_id: (r.row.text, r.n_lines, r.n_removed) for r in rows}
     assert len(rows) == len(ODD) + 4
     assert text[1] == (None, 0, 0) and text[2] == ("", 1, 0) and text[3][0] == LONG and text[7][0] == "   \n\n \t "
     assert text[10] == ("a\nb\nc\nd", 4, 0) and text[11] == ("x\n", 6, 4) and text[12] == ("q", 4, 3) or text[12][2] == 3
-    assert remove_repeated_lines(docs()).count() == 0
+    assert cut_repeated_lines(docs()).count() == 0
+    own = docs((1, "a\nb\nc"), (2, "a\nb\nc")).selectExpr("*", "7 AS n_lines", "8 AS n_removed", "9 AS lines", "10 AS gone", "11 AS doc")
+    clash = {r.row.doc_id: r for r in cut_repeated_lines(own).collect()}
+    assert (clash[2].row.n_lines, clash[2].row.n_removed, clash[2].row.gone, clash[2].n_lines, clash[2].n_removed) == (7, 8, 10, 3, 3)
 
 
 def test_licenses(docs):
@@ -127,6 +135,35 @@ def test_quality(spark, docs):
     assert quality.score(docs(), model).count() == 0
 
 
+def test_quality_learns_from_anywhere_in_a_text(spark, docs):
+    """Labels that only the text after its first 20,000 characters tells apart."""
+    same = "some words that all of them begin with " * 520
+    rows = [(i, same + (f"the quiet river {i} runs past the old mill " if i % 2 else f"BUY!! NOW!! {i} PILLS!! CLICK!! ") * 1500) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    scores = {r.row.doc_id: r.score for r in quality.score(docs(*rows), quality.train(docs(*rows), labels)).collect()}
+    assert min(scores[i] for i in range(1, 60, 2)) > max(scores[i] for i in range(0, 60, 2))
+
+
+def test_drawn_pieces(spark):
+    text = "".join(f"{i:04d}" + "x" * (quality.PIECE - 4) for i in range(50)) + "end"
+    frame = spark.createDataFrame([(1, text), (2, text), (3, "short"), (4, ""), (5, text[: 20 * quality.PIECE])], "draw long, text string")
+    got = {r.draw: r.t for r in frame.select("draw", quality.drawn_pieces(F.col("text"), F.col("draw")).alias("t")).collect()}
+    numbers = {d: [int(x) for x in re.findall(r"\d{4}", got[d])] for d in (1, 2)}
+    for d in (1, 2):
+        assert numbers[d] == sorted(set(numbers[d])) and len(numbers[d]) in (19, 20) and max(numbers[d]) > 20
+    assert numbers[1] != numbers[2]
+    assert (got[3], got[4], got[5]) == ("short", "", text[: 20 * quality.PIECE])
+
+
+def test_templates_that_are_not_linked(spark):
+    """Texts that share most words with all others, but with none enough; a few are near copies."""
+    texts = {i: f"your order number x{i} has now been shipped to you" for i in range(700)}
+    texts |= {1000 + i: f"your order number x{i} has now been shipped to you and to you" for i in range(0, 700, 50)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame, 2).collect()}
+    assert got == component_ids(texts, 2)
+
+
 def test_fingerprints(docs):
     rows = fingerprint.compare_with_next(docs(*ODD), 200).collect()
     assert len(rows) == len(ODD)

@@ -14,8 +14,8 @@ LINES = 3
 _LAST = 2**63 - 1
 
 
-def remove_repeated_lines(documents: DataFrame) -> DataFrame:
-    """The documents with every column, text cut, and added: n_lines and n_removed.
+def cut_repeated_lines(documents: DataFrame) -> DataFrame:
+    """The documents' columns in a struct ``row``, its text cut, and n_lines and n_removed.
 
     Lines are parted by line feeds. A window of three lines, not all blank, is a repeat when the same three lines
     come earlier: in a document with a smaller doc_id, or further up in the same one. All lines that a repeat
@@ -23,7 +23,7 @@ def remove_repeated_lines(documents: DataFrame) -> DataFrame:
 
     A null text stays null and has no lines. Texts of fewer than three lines stay whole. Documents without doc_id
     come last. Rows that repeat doc_id and text are one document and lose the same lines. Other columns are
-    passed on, whatever their names; an empty table gives an empty result.
+    passed on inside ``row``, whatever their names; an empty table gives an empty result.
     """
     columns = documents.columns
     keyed = documents.select(
@@ -68,7 +68,7 @@ def remove_repeated_lines(documents: DataFrame) -> DataFrame:
     )
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(left)
     return cut.select(
-        *[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns],
+        F.struct(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns]).alias("row"),
         "n_lines",
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
     )

@@ -60,8 +60,8 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without lines of a three-line window that came before."""
-    cut = line_dedup.remove_repeated_lines(_table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "text", "n_lines", "n_removed")
+    cut = line_dedup.cut_repeated_lines(_table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "row.text", "n_lines", "n_removed")
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
