@@ -204,6 +204,32 @@ def _exploded(keep: list[str], percent: int | None = None):
     return run
 
 
+def with_rare(sets: DataFrame, percent: int) -> DataFrame:
+    """Sets (doc_id, tokens) as (doc_id, n, rare): their sizes, and the least common tokens that ``links_apart`` joins."""
+    size = sets.agg(F.sum(F.octet_length("tokens")).alias("n")).first()["n"] or 0
+
+    def tokens(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for blob in batch.column("tokens"):
+            yield _set(blob), np.ones(len(blob.as_buffer()) // 8)
+
+    sketch = count_sketch(sets, tokens, bits_for(size // 64, 1, SKETCH_BITS), 2**31 - 1, hashes=1)
+    shared = sets.sparkSession.sparkContext.broadcast(sketch)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, rare = [], []
+            for blob in batch.column("tokens"):
+                own = _set(blob)
+                kept = len(own) - int(_least_overlap(np.array(len(own)), percent)[1]) + 1 if len(own) else 0
+                n.append(len(own))
+                rare.append(own[np.lexsort((own, estimate(shared.value, own)))][:kept].tobytes())
+            yield pa.record_batch(
+                {"doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "rare": pa.array(rare, pa.binary())}
+            )
+
+    return sets.mapInArrow(run, "doc_id long, n long, rare binary")
+
+
 def _sized(small, large, percent: int):
     return 100 * F.least(small, large) >= percent * F.greatest(small, large)
 

@@ -11,8 +11,9 @@ else is approximate: no group, partner or candidate is capped.
 
 * Documents with equal sets are one class. Only the class's smallest document goes on.
 * Each band key first links its members to its smallest one, so a group of any size makes one row per
-  member. After that only documents that these links left in different components are compared. Those with
-  the same smallest leader are compared chunk by chunk inside tasks, from which only links come out.
+  member. After that only documents of a band key whose members these links left in different components are compared. Pairs of them are
+  not listed by band, which would be the square of a group: they are found by their rarest shingles and a bound on what they can share
+  (``jaccard_join.links_apart``), then estimated and confirmed like all others.
 * Hot keys are split by adaptive execution: every join here is between two plain shuffles.
 """
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from trenchbook.llm.bytework import gaps_but, mix, shingles, slices, text_bytes, words
 from trenchbook.llm.components import components
+from trenchbook.llm.jaccard_join import in_groups, links_apart, with_rare
 from trenchbook.llm.store import Store
 
 BANDS, BAND = 32, 5
@@ -34,8 +36,6 @@ REGISTERS = BANDS * BAND
 MANTISSA = 10
 #: Estimates below the threshold by more than this are not confirmed: over five standard deviations.
 MARGIN = 0.18
-#: Bytes of shingle hashes in a chunk of a block.
-BLOCK = 1 << 20
 CHUNK = 1 << 21
 GAPS = gaps_but(r"[^\x20\x09-\x0D]")
 _rng = np.random.default_rng(7)
@@ -159,62 +159,6 @@ def _with_both(pairs: DataFrame, table: DataFrame, *names: tuple[str, str, str])
     return pairs
 
 
-def _block(percent: int):
-    least = percent / 100 - MARGIN
-
-    def run(table: pa.Table) -> pa.Table:
-        doc, root, n, chunk = (table.column(c).to_numpy() for c in ("doc_id", "root", "n", "chunk"))
-        regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
-        p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
-        left, right = np.flatnonzero(chunk == p), np.flatnonzero(chunk == q)
-        found: list[tuple[int, int]] = []
-        for x in left:
-            others = right[(root[right] != root[x]) & ((doc[right] > doc[x]) if p == q else True)]
-            # sizes alone rule out many
-            others = others[100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x])]
-            if not len(others):
-                continue
-            near = similarity(regs[[x]], regs[others], np.full(len(others), n[x]), n[others]) >= least
-            for y in others[near]:
-                at = np.minimum(np.searchsorted(sets[x], sets[y]), n[x] - 1)
-                both = int((sets[x][at] == sets[y]).sum())
-                if 100 * both >= percent * (n[x] + n[y] - both):
-                    found.append((int(doc[x]), int(doc[y])))
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return run
-
-
-def _blocks(named: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between documents of one home and different components.
-
-    A home's documents are dealt to chunks of about ``BLOCK`` bytes, and every two chunks meet in a task,
-    so a home of any size is spread and only links leave the tasks.
-    """
-    sized = named.join(reps.select("doc_id", F.col("n_shingles").alias("n")), "doc_id")
-    homes = (
-        sized.groupBy("home")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.sum("n") * 8 / BLOCK).alias("chunks"))
-        .where("low < high")
-        .select("home", "chunks")
-    )
-    chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks"))
-    dealt = (
-        sized.join(homes.hint("rebalance"), "home")
-        .withColumn("chunk", chunk)
-        .join(reps.select("doc_id", "registers"), "doc_id")
-        .join(sets, "doc_id")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            "home", F.least("chunk", "other").alias("p"), F.greatest("chunk", "other").alias("q"),
-            "doc_id", "root", "n", "chunk", "registers", "shingles",
-        )
-    )
-    return dealt.groupBy("home", "p", "q").applyInArrow(_block(percent), "a long, b long")
-
-
 def near_duplicates(
     documents: DataFrame, width: int = 5, percent: int = 80, store: Store | None = None
 ) -> DataFrame:
@@ -279,32 +223,35 @@ def near_duplicates(
     tried = close(buckets.where("doc_id > lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = linked(tried)
     stars = components(links, store)
-    # The rest: pairs of a bucket whose documents aren't yet in one component. Those with one home are compared
-    # in blocks, inside tasks; the few others are listed.
-    homes = buckets.groupBy("doc_id").agg(F.min("lead").alias("home"))
+    # The rest: documents that share a band with one of another component.
     named = store.keep(
-        homes.join(stars.select(F.col("node").alias("doc_id"), "root").hint("rebalance"), "doc_id", "left").select(
-            "doc_id", "home", F.coalesce("root", "doc_id").alias("root")
+        met.join(stars.select(F.col("node").alias("doc_id"), "root").hint("rebalance"), "doc_id", "left").select(
+            "doc_id", F.coalesce("root", "doc_id").alias("root")
         )
     )
-    within = store.keep(_blocks(named, reps, sets, percent))
     listed = buckets.select("key", "doc_id").join(named.hint("rebalance"), "doc_id")
-    split = (
-        listed.groupBy("key")
-        .agg(*[f(c).alias(f"{n}_{c}") for c in ("root", "home") for n, f in (("low", F.min), ("high", F.max))])
-        .where("low_root < high_root and low_home < high_home")
+    split = listed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    open_docs = store.keep(
+        listed.join(split.select("key").hint("rebalance"), "key", "left_semi").select("doc_id", "root").distinct()
+    )
+    open_sets = store.keep(
+        sets.join(open_docs.select("doc_id").hint("rebalance"), "doc_id", "left_semi").select("doc_id", F.col("shingles").alias("tokens"))
     )
-    open_keys = store.keep(listed.join(split.select("key").hint("rebalance"), "key", "left_semi"))
-    left, right = (
-        open_keys.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "root", "home")]) for side in "ab"
+    crowded = open_docs.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    dealt = in_groups(open_docs.join(crowded.hint("rebalance"), "root", "left_semi").select(F.col("doc_id").alias("node"), "root"))
+    placed = store.keep(
+        with_rare(open_sets, percent)
+        .join(dealt.drop("root").hint("rebalance"), "doc_id", "left")
+        .join(open_docs.hint("rebalance"), "doc_id")
+        .select("doc_id", "n", "rare", "root", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("groups", "grp")])
     )
-    across = (
-        left.join(right, "key")
-        .where("doc_id_a < doc_id_b and root_a <> root_b and home_a <> home_b")
-        .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-        .distinct()
+    more = links_apart(
+        placed,
+        lambda ids: open_sets.join(ids.distinct().hint("rebalance"), "doc_id", "left_semi"),
+        lambda pairs, _: linked(close(pairs)),
+        percent,
+        store,
     )
-    more = linked(close(across.join(tried, ["a", "b"], "left_anti"))).unionByName(within)
     roots = components(links.unionByName(more), store)
     found = (
         member.distinct()
