@@ -214,7 +214,7 @@ def test_keys_and_rollups(built, cells):
         ("P1", "C1", "A1", "S1"), ("P2", "C1", None, None), ("P3", None, None, None), ("P4", "C1", None, None)]
     assert cells(read("tables/pottery_by_context"), "Context_UUID", "PotteryCountBeforeMending") == [("C1", 5)]
     listed = read("tables/bag_ids_by_context").orderBy("key", "seq")
-    assert [(r.key, r.Identifier) for r in listed.collect()] == [("C1", "p1"), ("C1", "p2"), ("C1", "p4")]
+    assert [(r.key, r.n, r.Identifier) for r in listed.collect()] == [("C1", 0, "p1"), ("C1", 1, "p2"), ("C1", 2, "p4")]
     assert cells(read("issues/rollup_reconcile")) == [("context", 10, 5, 5), ("context_asu", 10, 5, 5)]
     assert cells(read("issues/bad_numbers"), "Identifier", "value") == [("p4", "many")]
     assert cells(read("issues/sample_bag_no_parent"), "IdentifierUUID") == [("S2",)]
@@ -227,7 +227,7 @@ def test_layers(built, cells):
     assert cells(layer, "IdentifierUUID", "Phase A", "Phase B", "Period", "wkt") == [
         ("C1", "yes", "yes", "B", ring(2, 3))]
     notes = read("tables/bag_notes").filter("target = 'C1'").orderBy(F.desc("seq"))
-    assert [r.Kastri for r in notes.collect()] == ["kP4", "kP2", "kP1"]
+    assert [(r.n, r.Kastri) for r in notes.collect()] == [(0, "kP4"), (1, "kP2"), (2, "kP1")]
     assert layer.schema["wkt"].metadata["crs"] == config.LAYER_CRS
     assert cells(read("layers/context_sf_summary"), "IdentifierUUID", "obsidian", "spool_whorl") == [("C1", 1, 1)]
     assert cells(read("layers/all_contexts"), "UUID", "kind") == [("C1", "close"), ("C1", "open")]

@@ -3,11 +3,14 @@
 import os
 
 import pytest
+from collections import defaultdict
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from trenchbook import config
 from trenchbook.functions.joins import left_join_spread
+from trenchbook.functions import ordered
 from trenchbook.operators import chronology, contexts, geo, quality, relations, rollup
 from trenchbook.plans.queries import QUERIES as OWN
 from trenchbook.plans.queries import site
@@ -159,6 +162,32 @@ def test_lists_do_not_depend_on_partitions(spark, cells):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_positions_of_a_hot_key(spark, tmp_path):
+    """The same positions from any number of ranges, without gaps, with a third of all rows on one key."""
+    rows = spark.range(0, 3000, 1, 5).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else concat('k', id % 70) end as key",
+        "struct(cast(3000 - id as string) as file, id as row) as seq", "id as Identifier",
+    )
+    expected = defaultdict(list)
+    for r in sorted(rows.collect(), key=lambda r: tuple(r.seq), reverse=True):
+        expected[r.key].append(r.Identifier)
+    del expected[None]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for partitions in ("1", "7", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        path = f"{tmp_path}/{partitions}"
+        ordered.sorted_rows(rows.where("key is not null"), "key", F.desc("seq")).write.parquet(path)
+        written = spark.read.parquet(path)
+        got = defaultdict(dict)
+        for r in ordered.with_positions(written, "key").collect():
+            got[r.key][r.n] = r.Identifier
+        assert {k: [own[n] for n in range(len(own))] for k, own in got.items()} == expected
+        ranges = written.where("key = 'hot'").select("part").distinct().count()
+        assert ranges == 1 if partitions == "1" else ranges > 1
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_rows_without_key_are_spread(spark):
     rows = spark.range(0, 20000, 1, 4).selectExpr("cast(null as string) as key", "cast(id as string) as seq")
     table = spark.range(10).selectExpr("cast(id as string) as key", "id as value")

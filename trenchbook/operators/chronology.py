@@ -64,9 +64,9 @@ def phase_flags(levels: DataFrame) -> DataFrame:
 
 
 def bag_notes(levels: DataFrame) -> DataFrame:
-    """Notes of each target's bags, one row per bag: (target, seq, …); the last bag comes first.
+    """Notes of each target's bags, one row per bag: (target, seq, …).
 
-    A target has the same form whatever its number of bags, and no shuffle makes it.
+    A target has the same form whatever its number of bags. ``functions.ordered`` gives each row its position, the last bag first.
     """
     notes = [F.coalesce(column, F.lit("")).alias(note) for column, note in config.NOTE_COLUMNS.items()]
     return levels.select("target", "seq", *notes)

@@ -55,9 +55,9 @@ def first_labels(pottery: DataFrame, key: Column) -> DataFrame:
 
 
 def concat_ids(pottery: DataFrame, key: Column) -> DataFrame:
-    """Bag identifiers of each key, one row per bag: (key, seq, Identifier), in the order of seq.
+    """Bag identifiers of each key, one row per bag: (key, seq, Identifier).
 
-    A list has the same form whatever its length, and no shuffle makes it.
+    A list has the same form whatever its length. ``functions.ordered`` gives each row its position in the order of seq.
     """
     return _keyed(pottery, key).select("key", "seq", F.coalesce("Identifier", F.lit("")).alias("Identifier"))
 

@@ -410,7 +410,8 @@ SQL = {
     "int_sum": "select Source as key, " + ", ".join(
         f"cast(coalesce(sum({WHOLE.format(c)}), 0) as bigint) as {c}" for c in COUNTS
     ) + " from t_bag group by 1",
-    "concat_ids": "select Context_UUID as key, seq, coalesce(Identifier, '') as Identifier from pottery "
+    "concat_ids": "select Context_UUID as key, seq, coalesce(Identifier, '') as Identifier, "
+    "row_number() over (partition by Context_UUID order by seq) - 1 as n from pottery "
     "where Context_UUID is not null",
     "first_labels": "select key, Source, ContextID from rolled_context",
     "bad_numbers": " union all ".join(
@@ -431,7 +432,7 @@ SQL = {
     "phase_map": f"select IdentifierUUID, CoverageTemporal, {SLOT} as slot, {FLAG} as flag from t_bag",
     "phase_flags": "select * exclude (Period) from flags",
     "period": "select target, Period from context_flags",
-    "bag_notes": "select * from notes",
+    "bag_notes": "select *, row_number() over (partition by target order by seq desc) - 1 as n from notes",
     "phases_context_asu": "select * exclude (seq) from phased",
     "phases_context": "select * exclude (seq) from context_phased",
     "counts_context_asu": f"""select p.IdentifierUUID, Type, Period, r.ContextID, {_counts},

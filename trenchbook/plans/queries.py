@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from hashlib import md5
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trenchbook import config
+from trenchbook.functions import ordered
 from trenchbook.functions.text import is_asu
 from trenchbook.operators import chronology, contexts, finds, geo, quality, relations, rollup
 from trenchbook.plans.fixtures import COUNTS, recording
@@ -74,6 +75,11 @@ class Site:
         folder = f"{shared_folder(spark)}/{md5(sf_dir.encode()).hexdigest()[:12]}"
         self.stages = Stages(spark, folder)
 
+    def in_order(self, name: str, make: Callable[[], DataFrame], key: str, order: Column) -> DataFrame:
+        """Rows with their position within the key; the sorted rows are a stage table."""
+        written = self.stages.table(f"sorted_{name}", lambda: ordered.sorted_rows(make(), key, order))
+        return ordered.with_positions(written, key)
+
     def raw(self, name: str) -> DataFrame:
         """A recording table, as a site-wide type table would be kept."""
         return self.stages.table(name, lambda: recording(self.spark, self.sf_dir, name, self.tasks))
@@ -326,7 +332,9 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "rollup_context_asu": Site.make_rolled_asu,
     "rollup_context": Site.make_rolled,
     "int_sum": lambda s: rollup.int_sums(s.raw("bag"), F.col("Source"), COUNTS),
-    "concat_ids": lambda s: rollup.concat_ids(s.pottery(), rollup.context_key()),
+    "concat_ids": lambda s: s.in_order(
+        "bag_ids", lambda: rollup.concat_ids(s.pottery(), rollup.context_key()), "key", F.asc("seq")
+    ),
     "first_labels": lambda s: rollup.first_labels(s.pottery(), rollup.context_key()),
     "bad_numbers": lambda s: rollup.bad_numbers(s.raw("bag"), COUNTS),
     "rollup_reconcile": lambda s: rollup.rollup_reconcile(
@@ -340,7 +348,9 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     "period": lambda s: chronology.phase_flags(chronology.context_level(s.pottery())).select(
         "target", "Period"
     ),
-    "bag_notes": lambda s: chronology.bag_notes(chronology.bag_levels(s.pottery())),
+    "bag_notes": lambda s: s.in_order(
+        "bag_notes", lambda: chronology.bag_notes(chronology.bag_levels(s.pottery())), "target", F.desc("seq")
+    ),
     "phases_context_asu": lambda s: s.make_phased_asu().drop("seq"),
     "phases_context": lambda s: s.make_phased().drop("seq"),
     "counts_context_asu": lambda s: chronology.counts_context_asu(

@@ -10,11 +10,12 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trenchbook import config
+from trenchbook.functions import ordered
 from trenchbook.operators import chronology, contexts, finds, geo, quality, relations, rollup
 from trenchbook.plans.stages import Stages
 from trenchbook.sources import exports, publish
@@ -136,6 +137,11 @@ class Refresh:
                 self.issues["pottery_violations_site"], self.type_table("Pottery")
             )
 
+    def write_list(self, name: str, rows: DataFrame, key: str, order: Column) -> None:
+        """A table of ordered lists: each row with its position ``n``, the files sorted by key and position."""
+        written = self.work.table(f"sorted/{name}", lambda: ordered.sorted_rows(rows, key, order))
+        publish.write_sorted(ordered.with_positions(written, key), f"{self.out}/tables/{name}", key, "n")
+
     def violations(self, name: str, rows: DataFrame, schema: TableSchema, **how) -> DataFrame:
         """Violations of a table, its repeated values written first, so that they are joined with their size known."""
         repeated = None
@@ -218,8 +224,7 @@ class Refresh:
             pottery, {"context_asu": rolled_asu, "context": rolled}
         )
         for name, key in (("context_asu", rollup.own_level_key()), ("context", rollup.context_key())):
-            ids = rollup.concat_ids(pottery, key)
-            publish.write_table(ids, f"{self.out}/tables/bag_ids_by_{name}")
+            self.write_list(f"bag_ids_by_{name}", rollup.concat_ids(pottery, key), "key", F.asc("seq"))
         photo_schema = self.schema(config.PUBLISHED_TABLES["photo"])
         added = [n for n in photo_schema.names if n not in self.schema("photo.json").names]
         original = added[0] if added else "OriginalIdentifierUUID"
@@ -260,7 +265,7 @@ class Refresh:
             "phases_context", lambda: chronology.phases_context(phased_asu)
         )
         notes = chronology.bag_notes(chronology.bag_levels(pottery))
-        publish.write_table(notes, f"{self.out}/tables/bag_notes")
+        self.write_list("bag_notes", notes, "target", F.desc("seq"))
         tables.table(
             "counts_context_asu", lambda: chronology.counts_context_asu(phased_asu, rolled_asu)
         )
