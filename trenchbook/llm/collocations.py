@@ -15,6 +15,7 @@ with may go on in the next range, so its partial count is kept whatever its size
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,7 +62,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             {
                 "lang": pa.array([lang]),
                 "words": pa.array([b" ".join(list(number)[1:])], pa.binary()),
-                "places": pa.array([places.tobytes()], pa.binary()),
+                "places": pa.array([zlib.compress(places.tobytes(), 1)], pa.binary()),
                 "n_words": pa.array([int((places > 0).sum())]),
             }
         )
@@ -84,7 +85,7 @@ class _Block:
 
     def __init__(self, row: dict) -> None:
         self.lang, self.blob = row["lang"], row["words"]
-        self.places = np.frombuffer(row["places"], np.int32)
+        self.places = np.frombuffer(zlib.decompress(row["places"]), np.int32)
         data = np.frombuffer(self.blob, np.uint8)
         own = words(data, np.array([0, len(data)]), _SPACE)[3] if len(data) else np.zeros(0, np.uint64)
         salt = mix(np.frombuffer(self.lang.encode().ljust(-(-len(self.lang.encode()) // 8) * 8 or 8, b"\0"), "<u8").astype(np.uint64))
