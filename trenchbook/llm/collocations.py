@@ -35,8 +35,8 @@ SCALE, COVERED = 2_000_000, 80
 BLOCK, OPEN = 4 << 20, 16 << 20
 #: At most 2 * 2**23 one-byte cells are broadcast for either sketch.
 SKETCH_BITS = 23
-#: Suffix rows in a range.
-RANGE = 1 << 19
+#: Words of text for each range; a range holds no more suffix rows than that, and less where suffixes repeat or are rare.
+RANGE = 1 << 20
 #: Shares that the ranking of a language is dealt to.
 SHARES = 64
 _SPACE = np.array([b == 32 for b in range(256)])
@@ -255,8 +255,9 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, store: Store | No
     share, bits = spark.sparkContext.broadcast, bits_for(size, 1, SKETCH_BITS)
     word_sketch = share(count_sketch(blocks, _word_keys, bits, least))
     pair_sketch = share(count_sketch(blocks, _pair_keys(word_sketch, least), bits, least))
-    suffixes = store.keep(blocks.mapInArrow(_suffixes(word_sketch, pair_sketch, least), "lang string, suffix string, n long"))
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), suffixes.count() // RANGE + 1)
+    # Not written: the blocks are, and making suffixes of them twice (once for the cuts of the ranges) costs less than the disk.
+    suffixes = blocks.mapInArrow(_suffixes(word_sketch, pair_sketch, least), "lang string, suffix string, n long")
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE + 1)
     routed = suffixes.repartitionByRange(ranges, "lang", "suffix").sortWithinPartitions("lang", "suffix")
     counted = routed.mapInArrow(_counted(least), "lang string, phrase string, size long, f long")
     phrases = counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
