@@ -15,12 +15,12 @@ with may go on in the next range, so its partial count is kept whatever its size
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +46,17 @@ _FOLD = bytes(
 )
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, all first bytes, then all second ones, and so on, compressed."""
+    return zstandard.compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    """The numbers of ``_packed``."""
+    own = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(own.T).view(np.int32).ravel()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of one language: its words, and their places as numbers from 1 with 0 where a piece ends."""
     open_texts: dict[str, list[bytes]] = {}
@@ -61,8 +72,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch(
             {
                 "lang": pa.array([lang]),
-                "words": pa.array([b" ".join(list(number)[1:])], pa.binary()),
-                "places": pa.array([zlib.compress(places.tobytes(), 1)], pa.binary()),
+                "words": pa.array([zstandard.compress(b" ".join(list(number)[1:]))], pa.binary()),
+                "places": pa.array([_packed(places)], pa.binary()),
                 "n_words": pa.array([int((places > 0).sum())]),
             }
         )
@@ -84,8 +95,8 @@ class _Block:
     """A block's words, their hashes, and its places."""
 
     def __init__(self, row: dict) -> None:
-        self.lang, self.blob = row["lang"], row["words"]
-        self.places = np.frombuffer(zlib.decompress(row["places"]), np.int32)
+        self.lang, self.blob = row["lang"], zstandard.decompress(row["words"])
+        self.places = _unpacked(row["places"])
         data = np.frombuffer(self.blob, np.uint8)
         own = words(data, np.array([0, len(data)]), _SPACE)[3] if len(data) else np.zeros(0, np.uint64)
         salt = mix(np.frombuffer(self.lang.encode().ljust(-(-len(self.lang.encode()) // 8) * 8 or 8, b"\0"), "<u8").astype(np.uint64))
