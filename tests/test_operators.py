@@ -244,7 +244,8 @@ def test_bad_wkt(frame, cells):
 SCHEMA = TableSchema(
     (
         Field("Source"), Field("Type", required=True), Field("Identifier", required=True, unique=True),
-        Field("Title", enum=("bone", "shell")), Field("Count", type="number"), Field("Date", type="datetime"),
+        Field("Title", enum=("bone", "shell")), Field("Count", type="number"),
+        Field("Date", type="datetime", format="%Y"),
         Field("IdentifierUUID", required=True, unique=True),
     ),
     missing_values=("", "N/A"),
@@ -268,6 +269,9 @@ def test_violations(frame, cells):
         ("a", "000002", "Type", quality.REQUIRED),
     ]
     assert found.filter("row = '000001'").first()["item"] == "T1 - Bag - 1 - Bone"
+    assert {r.column: r.field_format for r in found.collect()} == {
+        "Identifier": "default", "Count": "default", "Date": "%Y", "Title": "default", "Type": "default"}
+    assert quality.check_values(rows, TableSchema((Field("Source"),))).collect() == []
     site_wide = quality.check_unique(quality.missing_values(rows, SCHEMA), SCHEMA, site_wide=True)
     assert cells(site_wide.filter("column = 'IdentifierUUID'"), "row") == [("000000",), ("000003",)]
     counts = quality.violation_counts(rows, found)

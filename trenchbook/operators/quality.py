@@ -1,7 +1,7 @@
 """Checks of a table against its schema; every violation is a row.
 
 Violations have the columns (source_file, row, item, column, code, message,
-value, field_type), where ``item`` holds the first four columns of the row,
+value, field_type, field_format), where ``item`` holds the first four columns of the row,
 and then the columns of the row that the caller wants carried along.
 """
 
@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trenchbook.functions.text import blank_to_null, date_time, number
+from trenchbook.functions.text import blank_to_null, date_time, whole_number
 from trenchbook.sources.schema import Field, TableSchema
 
 REQUIRED = "required-constraint"
@@ -21,6 +21,9 @@ ENUM = "enumerable-constraint"
 TYPE = "type-or-format-error"
 MISSING_HEADER = "missing-header"
 EXTRA_HEADER = "extra-header"
+PROBLEM = (
+    "struct<column:string,code:string,message:string,value:string,field_type:string,field_format:string>"
+)
 
 
 def missing_values(rows: DataFrame, schema: TableSchema) -> DataFrame:
@@ -31,38 +34,35 @@ def missing_values(rows: DataFrame, schema: TableSchema) -> DataFrame:
     )
 
 
-def _problem(name: str, code: str, message: str, declared: str) -> Column:
+def _problem(f: Field, code: str, message: str) -> Column:
     return F.struct(
-        F.lit(name).alias("column"),
+        F.lit(f.name).alias("column"),
         F.lit(code).alias("code"),
         F.lit(message).alias("message"),
-        F.col(f"`{name}`").cast("string").alias("value"),
-        F.lit(declared).alias("field_type"),
+        F.col(f"`{f.name}`").cast("string").alias("value"),
+        F.lit(f.type).alias("field_type"),
+        F.lit(f.format).alias("field_format"),
     )
 
 
-def _value_checks(f: Field) -> list[Column]:
-    """Checks of one column that need nothing but its own value."""
+def _value_checks(f: Field) -> list[tuple[Column, Column]]:
+    """Checks of one column that need nothing but its own value: when it fails, and the problem."""
     value = F.col(f"`{f.name}`")
     checks = []
     if f.required:
-        checks.append(
-            F.when(value.isNull(), _problem(f.name, REQUIRED, f"{f.name} is required", f.type))
-        )
+        checks.append((value.isNull(), _problem(f, REQUIRED, f"{f.name} is required")))
     if f.enum:
         checks.append(
-            F.when(~value.isin(list(f.enum)),
-                   _problem(f.name, ENUM, f"{f.name} is not one of the listed values", f.type))
+            (~value.isin(list(f.enum)), _problem(f, ENUM, f"{f.name} is not one of the listed values"))
         )
     typed = {
-        "number": number(value),
+        "number": whole_number(value),  # there whenever the number is
         "integer": value.try_cast("bigint"),
         "datetime": date_time(value),
     }.get(f.type)
     if typed is not None:
         checks.append(
-            F.when(value.isNotNull() & typed.isNull(),
-                   _problem(f.name, TYPE, f"{f.name} is not a {f.type}", f.type))
+            (value.isNotNull() & typed.isNull(), _problem(f, TYPE, f"{f.name} is not a {f.type}"))
         )
     return checks
 
@@ -88,11 +88,12 @@ def check_values(
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Required, enum and type checks of all columns in one pass, without a shuffle."""
-    checks = [c for f in schema.fields for c in _value_checks(f)]
+    problems = [F.when(fails, problem) for f in schema.fields for fails, problem in _value_checks(f)]
+    nothing = F.array().cast(f"array<{PROBLEM}>")
     return rows.select(
         *_identified(schema, source_file, row),
         *carry,
-        F.explode(F.array_compact(F.array(*checks))).alias("problem"),
+        F.explode(F.array_compact(F.array(*problems)) if problems else nothing).alias("problem"),
     ).select("source_file", "row", "item", "problem.*", *carry)
 
 
@@ -155,7 +156,9 @@ def check_unique(
         _scope(source_file, site_wide).alias("scope"),
         F.inline(_unique_cells(schema)),
     )
-    types = F.create_map(*[F.lit(x) for f in schema.fields if f.unique for x in (f.name, f.type)])
+    unique = [f for f in schema.fields if f.unique]
+    types = F.create_map(*[F.lit(x) for f in unique for x in (f.name, f.type)])
+    formats = F.create_map(*[F.lit(x) for f in unique for x in (f.name, f.format)])
     return cells.join(repeated, ["scope", "column", "value"], "left_semi").select(
         "source_file",
         "row",
@@ -165,6 +168,7 @@ def check_unique(
         F.concat("column", F.lit(" must be unique")).alias("message"),
         "value",
         F.try_element_at(types, F.col("column")).alias("field_type"),
+        F.try_element_at(formats, F.col("column")).alias("field_format"),
         *carry,
     )
 
@@ -237,12 +241,12 @@ POTTERY_CARRY = (
 
 
 def pottery_violations(found: DataFrame, site_wide: bool = False) -> DataFrame:
-    """Violations of pottery bags: (source_file, code, row, column, message, value, field_type).
+    """Violations of pottery bags: (source_file, code, row, column, message, value, field_type, field_format).
 
     Site-wide also trench, shape comment, diagnostic count and bag number, which
     the check pass carries along (POTTERY_CARRY), so the bags are not joined again.
     """
-    basic = ["source_file", "code", "row", "column", "message", "value", "field_type"]
+    basic = ["source_file", "code", "row", "column", "message", "value", "field_type", "field_format"]
     names = ("trench", "shapecount", "diagcount", "potbag")
     carried = [F.col(c).alias(n) for c, n in zip(POTTERY_CARRY, names)] if site_wide else []
     return found.select(*basic, *carried)

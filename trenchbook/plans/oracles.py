@@ -137,7 +137,8 @@ def _problems(table: str, checks: list[tuple[str, str, str, str, str]], carry: s
     """Violations by (column, code, message, type, condition)."""
     return " union all ".join(
         f"""select Source as source_file, seq as row, '{column}' as "column", '{code}' as code,
-            '{message}' as message, cast({column} as varchar) as value, '{declared}' as field_type {carry}
+            '{message}' as message, cast({column} as varchar) as value, '{declared}' as field_type,
+            'default' as field_format {carry}
         from {table} where {condition}"""
         for column, code, message, declared, condition in checks
     )

@@ -137,7 +137,7 @@ class Site:
     def repeated_values(self, name: str, schema: TableSchema, site_wide: bool = False) -> DataFrame:
         """Values that rows of a recording table share in a unique column."""
         return self.stages.table(
-            f"{name}_values",
+            f"{name}_values_site" if site_wide else f"{name}_values",
             lambda: quality.repeated_values(
                 quality.missing_values(self.raw(name), schema), schema, "Source", site_wide
             ),
@@ -271,7 +271,8 @@ QUERIES: dict[str, Callable[[Site], DataFrame]] = {
     ),
     "pottery_violations": lambda s: quality.pottery_violations(
         quality.violations(
-            s.raw("bag"), BAG_SCHEMA, "Source", site_wide=True, carry=quality.POTTERY_CARRY
+            s.raw("bag"), BAG_SCHEMA, "Source", site_wide=True, carry=quality.POTTERY_CARRY,
+            repeated=s.repeated_values("bag", BAG_SCHEMA, site_wide=True),
         ),
         site_wide=True,
     ),

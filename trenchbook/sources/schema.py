@@ -13,7 +13,7 @@ SPARK_TYPES = {"string": T.StringType(), "number": T.DoubleType(), "integer": T.
 
 @dataclass(frozen=True)
 class Field:
-    """One column: its name, its title in reports, its type, and what its values must satisfy."""
+    """One column: its name, its title in reports, its type and format, and what its values must satisfy."""
 
     name: str
     type: str = "string"
@@ -21,6 +21,7 @@ class Field:
     required: bool = False
     unique: bool = False
     enum: tuple[str, ...] = ()
+    format: str = "default"
 
 
 @dataclass(frozen=True)
@@ -64,6 +65,7 @@ def parse_schema(declared: dict) -> TableSchema:
                 bool(rules.get("required")),
                 bool(rules.get("unique")),
                 tuple(rules.get("enum", ())),
+                f.get("format") or "default",
             )
         )
     name = declared.get("tablename") or declared.get("layername") or ""
