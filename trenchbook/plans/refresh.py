@@ -18,7 +18,7 @@ from trenchbook import config
 from trenchbook.functions import ordered
 from trenchbook.operators import chronology, contexts, finds, geo, quality, relations, rollup
 from trenchbook.plans.stages import Stages
-from trenchbook.sources import exports, publish
+from trenchbook.sources import exports, publish, records
 from trenchbook.sources.schema import TableSchema, load_schema
 
 CONTEXT_TYPES = ["ASU", "Cut", "FillDeposit", "Structure", "Surface"]
@@ -83,20 +83,27 @@ class Refresh:
         routed = exports.route_type(files, config.EXPORT_SCHEMAS, "schema").withColumn(
             "type", exports.by_ending(F.regexp_replace("file_name", "tab$", "csv"), config.RECORD_TYPES)
         )
-        # Paths only; the driver holds the same list to plan the scans.
-        listed = routed.filter(F.col("schema").isNotNull()).select("schema", "type", "path").collect()
+        declared = routed.filter(F.col("schema").isNotNull()).select("schema", "type").distinct().collect()
+        lines = self.work.table(
+            "lines",
+            lambda: exports.route_type(
+                records.read_lines(self.spark, self.exports_folder), config.EXPORT_SCHEMAS, "schema"
+            ).where("schema is not null"),
+            "schema",
+        )
         self.types: dict[str, TableSchema] = {}
         headers, looked, checks, counts = [], [], {}, []
-        for schema_name, type_name in sorted({(r.schema, r.type) for r in listed}):
-            paths = sorted(r.path for r in listed if r.schema == schema_name)
+        for schema_name, type_name in sorted({(r.schema, r.type) for r in declared}):
             schema = self.schema(schema_name)
+            own = lines.where(F.col("schema") == schema_name)
+            spanning = self.work.table(f"spanning/{type_name}", lambda own=own: records.spanning_lines(own))
+            whole = records.whole_records(own, spanning)
             surveyed = self.work.table(
-                f"survey/{type_name}",
-                lambda paths=paths: exports.survey_files(self.spark, paths),
+                f"survey/{type_name}", lambda whole=whole: exports.survey_records(whole)
             )
             headers.append(exports.header_problems(surveyed, schema))
             looked.append(exports.missing_columns(surveyed, schema))
-            rows = exports.read_type(self.spark, surveyed, schema)
+            rows = exports.read_type(whole, surveyed, schema)
             if rows is None:
                 continue
             self.types[type_name] = schema

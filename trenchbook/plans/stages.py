@@ -33,11 +33,11 @@ class Stages:
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
 
-    def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """The table of that name; the first call writes it."""
+    def table(self, name: str, make: Callable[[], DataFrame], *parts: str) -> DataFrame:
+        """The table of that name; the first call writes it, in a folder for each value of ``parts``."""
         if name not in self._tables:
             path = f"{self.folder}/{name}"
-            make().write.mode("overwrite").parquet(path)
+            make().write.mode("overwrite").partitionBy(*parts).parquet(path)
             self._tables[name] = self.spark.read.parquet(path)
         return self._tables[name]
 

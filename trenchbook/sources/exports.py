@@ -12,14 +12,10 @@ from pyspark.sql import types as T
 from trenchbook import config
 from trenchbook.functions.text import blank_to_null, by_ending, file_stem
 from trenchbook.operators.quality import check_header
+from trenchbook.sources.records import decoded
 from trenchbook.sources.schema import TableSchema
 
 
-def _decoded(column: str) -> Column:
-    """File metadata as plain text: it is URL-encoded, but a plus sign in it is a plus sign."""
-    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
-
-
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.tab") -> DataFrame:
     """Files under the folder: (path, file_name). Only the listing is read, no content."""
     listed = (
@@ -27,7 +23,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.tab") -> Data
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(folder)
-        .select(_decoded("_metadata.file_path").alias("path"))
+        .select(decoded("_metadata.file_path").alias("path"))
     )
     return listed.withColumn("file_name", F.substring_index("path", "/", -1))
 
@@ -85,7 +81,7 @@ def survey_files(spark: SparkSession, paths: list[str] | str, separator: str = "
         .text(literal_paths(paths))
         .select(
             "value",
-            _decoded("_metadata.file_path").alias("path"),
+            decoded("_metadata.file_path").alias("path"),
             F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("line"),
         )
     )
@@ -133,9 +129,9 @@ def scan_exports(
     )
     return rows.select(
         *[blank_to_null(F.col(f"`{c}`")).alias(c) for c in columns],
-        _decoded("_metadata.file_name").alias("file_name"),
+        decoded("_metadata.file_name").alias("file_name"),
         F.struct(
-            _decoded("_metadata.file_name").alias("file"),
+            decoded("_metadata.file_name").alias("file"),
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
@@ -168,10 +164,11 @@ def record_numbers(found: DataFrame, rows: DataFrame) -> DataFrame:
     """Violations with ``record``, the number of their row's record in its file, the header being record 1.
 
     A record over several lines counts once. Only one row per block of a file is needed for that,
-    whatever the file's size. ``rows`` holds every row of the files.
+    whatever the file's size, where a block's row numbers have no gaps; where lines were joined or left out, the
+    block's numbers alone are counted. ``rows`` holds every row of the files.
     """
     blocks = rows.groupBy("seq.path", "seq.block").agg(
-        F.min("seq.row").alias("first_row"), F.count("*").alias("n_rows")
+        F.min("seq.row").alias("first_row"), F.max("seq.row").alias("last_row"), F.count("*").alias("n_rows")
     )
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
@@ -179,13 +176,25 @@ def record_numbers(found: DataFrame, rows: DataFrame) -> DataFrame:
     starts = blocks.select(
         "path",
         "block",
-        (F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)) + 2 - F.col("first_row")).alias("shift"),
+        "first_row",
+        (F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)) + 2).alias("first_record"),
+        (F.col("last_row") - F.col("first_row") >= F.col("n_rows")).alias("gaps"),
+    )
+    within = Window.partitionBy("path", "block").orderBy("at")
+    counted = (
+        rows.select("seq.path", "seq.block", F.col("seq.row").alias("at"))
+        .join(starts.where("gaps").select("path", "block"), ["path", "block"], "left_semi")
+        .withColumn("place", F.row_number().over(within) - 1)
     )
-    return (
-        found.withColumns({"path": F.col("row.path"), "block": F.col("row.block")})
+    keys = ["path", "block", "at"]
+    numbered = (
+        found.withColumns({"path": F.col("row.path"), "block": F.col("row.block"), "at": F.col("row.row")})
         .join(starts.hint("rebalance"), ["path", "block"])
-        .withColumn("record", F.col("row.row") + F.col("shift"))
-        .drop("path", "block", "shift")
+        .join(counted.hint("rebalance"), keys, "left")
+    )
+    place = F.coalesce("place", F.col("at") - F.col("first_row"))
+    return numbered.withColumn("record", F.col("first_record") + place).drop(
+        *keys, "first_row", "first_record", "gaps", "place"
     )
 
 
@@ -195,24 +204,53 @@ def missing_columns(surveyed: DataFrame, schema: TableSchema) -> DataFrame:
     return surveyed.withColumn("n_missing", F.size(F.array_except(names, F.col("header"))))
 
 
+def survey_records(records: DataFrame, separator: str = "\t") -> DataFrame:
+    """Each file's header and the row it stands in: (path, header, head_row)."""
+    heads = records.groupBy("path").agg(
+        F.min_by(F.struct("text", "row"), F.struct("block", "row")).alias("head")
+    )
+    clean = F.regexp_replace("head.text", "[\\uFEFF\r\"]", "")
+    return heads.select(
+        "path", F.split(clean, f"\\Q{separator}\\E").alias("header"), F.col("head.row").alias("head_row")
+    )
+
+
 def read_type(
-    spark: SparkSession, surveyed: DataFrame, schema: TableSchema, separator: str = "\t"
+    records: DataFrame, surveyed: DataFrame, schema: TableSchema, separator: str = "\t"
 ) -> DataFrame | None:
-    """Site-wide table of one type from its surveyed files; None when no file has all columns.
+    """Site-wide table of one type from its records and headers; None when no file has all columns.
 
-    Files with the same header, and as splittable as each other, are read in one
-    scan. The driver sees distinct headers and the paths that a scan is told, never a header per file.
+    One pass whatever the headers: a record is cut into as many values as the widest header has, and its file's
+    header, joined by path, tells the place of each column. The first of two columns with one name counts; a short record
+    has nulls at its end. The driver sees the width alone.
     """
     usable = missing_columns(surveyed, schema).where("n_missing = 0")
-    kind = F.md5(F.concat_ws("\n", "header", F.col("spans_lines").cast("string"))).alias("kind")
-    files: dict[str, list[str]] = {}
-    for r in usable.select(kind, "path").toLocalIterator():
-        files.setdefault(r.kind, []).append(r.path)
-    tables = []
-    for r in usable.select(kind, "header", "spans_lines").distinct().orderBy("kind").collect():
-        rows = scan_exports(spark, sorted(files[r.kind]), r.header, separator, r.spans_lines)
-        tables.append(strip_columns(rows, schema))
-    return concat_type(tables) if tables else None
+    width = usable.agg(F.max(F.size("header"))).first()[0]
+    if width is None:
+        return None
+    names = F.array(*[F.lit(n) for n in schema.names])
+    heads = usable.select(
+        F.col("path"),
+        "head_row",
+        F.transform(names, lambda n: F.array_position("header", n).cast("int") - 1).alias("places"),
+    )
+    cells = ", ".join(f"c{i} string" for i in range(width))
+    how = {"sep": separator, "quote": '"', "escape": '"', "multiLine": "true", "maxColumns": str(width + 20480)}
+    cut = (
+        records.join(heads.hint("rebalance"), "path")
+        .where("row != head_row")
+        .withColumn("cut", F.from_csv("text", cells, how))
+        .withColumn("cells", F.array(*[f"cut.c{i}" for i in range(width)]))
+    )
+    rows = cut.select(
+        *[
+            blank_to_null(F.get("cells", F.col("places")[i])).alias(n)
+            for i, n in enumerate(schema.names)
+        ],
+        "file_name",
+        F.struct(F.col("file_name").alias("file"), "path", "block", "row").alias("seq"),
+    )
+    return concat_type([rows])
 
 
 def header_problems(surveyed: DataFrame, schema: TableSchema) -> DataFrame:
