@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from trenchbook.llm import prefix_trie as trie
@@ -107,6 +108,14 @@ def test_a_full_sketch_changes_nothing_but_the_work(spark, turns, monkeypatch):
     assert told(trie.prefix_trie(turns(*ROWS))) == plain_trie(in_order(ROWS))
 
 
+def test_cells_shared_by_chance_change_nothing(spark, turns, monkeypatch):
+    """A beginning may look shared although the one before it is proven to be one conversation's only."""
+    bound = trie.estimate
+    monkeypatch.setattr(trie, "estimate", lambda sketch, keys: np.maximum(bound(sketch, keys), 1 + (keys & np.uint64(1)).astype(int)))
+    rows = [*ROWS, *[(c, t, "user", f"own {c} {t}") for c in range(50, 70) for t in range(9)]]
+    assert told(trie.prefix_trie(turns(*rows))) == plain_trie(in_order(rows))
+
+
 def test_no_conversations_no_nodes(turns):
     assert trie.prefix_trie(turns()).count() == 0
     assert trie.prefix_trie(turns((None, 1, "user", "x"))).count() == 0

@@ -324,6 +324,8 @@ def trie_of(turns: DataFrame, conversations: DataFrame, store: Store, bits: int
     )
     none = F.sha2(F.lit(""), 256)
     top = F.lit(nodes.where("depth = 0").agg(F.min("owner")).first()[0]).cast("long")  # one number
+    # A beginning whose cells are shared by chance may follow one proven to be its conversation's only: that one is no node of
+    # ``nodes``, and belongs to the same conversation.
     parents = nodes.where("depth > 0").select(*parent, F.col("owner").alias("parent_conv_id"))
     shared_nodes = (
         nodes.join(sums, digest)
@@ -331,8 +333,8 @@ def trie_of(turns: DataFrame, conversations: DataFrame, store: Store, bits: int
         .join(parents.hint("rebalance"), ["pa", "pb"], "left")
         .select(
             F.col("owner").alias("conv_id"), "depth",
-            F.when(F.col("depth") == 1, top).otherwise(F.col("parent_conv_id")).alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
-            "saved_tokens", F.coalesce("ends_sha256", none).alias("ends_sha256"),
+            F.when(F.col("depth") == 1, top).when(F.col("depth") > 1, F.coalesce("parent_conv_id", "owner")).alias("parent_conv_id"),
+            "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", none).alias("ends_sha256"),
         )
     )
     # A tail hangs on its own conversation, on the root, or on a shared node.
