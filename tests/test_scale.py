@@ -13,7 +13,7 @@ from trenchbook.functions.joins import left_join_spread
 from trenchbook.functions import ordered
 from trenchbook.operators import chronology, contexts, geo, quality, relations, rollup
 from trenchbook.plans.queries import QUERIES as OWN
-from trenchbook.plans.queries import site
+from trenchbook.plans.queries import Site, site
 from trenchbook.sources.schema import Field, TableSchema
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -41,6 +41,23 @@ def test_scans_read_only_what_is_used(spark):
     assert "IsNull(Context_UUID)" in text.split("PushedFilters")[1]
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_wide_tables_are_not_written_for_narrow_steps(spark):
+    """Counts of bags and shapes of contexts are made where they are read; only keys and sorted lists are written."""
+    s = Site(spark, f"{SF_DIR}/")  # with a folder of its own
+    for name in ("period", "rollup_context_asu", "bag_notes", "polygon_features"):
+        OWN[name](s)
+    written = {c for table in s.stages._tables.values() for c in table.columns}
+    assert "IdentifierUUID" in written and not written & {"PotteryCountFine", "CoverageXYZ", "opening"}
+
+
+def test_numbers_read_before_are_summed_as_texts_are(frame, cells):
+    bags = frame("Source PotteryCountFine", ("a", "3"), ("a", "-1.9"), ("a", "1d"), ("b", ""), ("b", None), (None, "7"))
+    read = rollup.with_numbers(bags, ["PotteryCountFine"])
+    sums = [cells(rollup.int_sums(rows, F.col("Source"), ["PotteryCountFine"])) for rows in (bags, read)]
+    assert sums[0] == sums[1] == [("a", 2), ("b", 0)]
+
+
 @pytest.fixture
 def small_partitions(spark):
     """Thresholds at which a few thousand rows count as skewed."""
