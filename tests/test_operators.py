@@ -279,6 +279,21 @@ def test_violations(frame, cells):
     assert cells(quality.file_totals(counts)) == [(3, 2, 1)]
 
 
+def test_number_cells(frame, cells):
+    """Recorded rows and rows with nulls for missing values have the same problems; only number columns are laid out."""
+    schema = TableSchema((Field("a", required=True), Field("n", type="number", required=True), Field("m", type="number")), missing_values=("", "-"))
+    rows = frame("text a n m", ("t1", "x", "1", "-"), ("t2", "", "1d", ""), ("t3", "y", None, "2,5"), ("t4", "-", "-", "NaN"))
+    shown = ("text", "row", "column", "code", "value", "field_type")
+    found = [
+        cells(quality.check_values(r, schema, "a", "seq", ("text",), recorded=recorded), *shown)
+        for r, recorded in ((rows, True), (quality.missing_values(rows, schema), False))
+    ]
+    assert found[0] == found[1] and [(t, c, v) for t, _, c, _, v, _ in found[0]] == [
+        ("t2", "a", None), ("t2", "n", "1d"), ("t3", "m", "2,5"), ("t3", "n", None),
+        ("t4", "a", None), ("t4", "m", "NaN"), ("t4", "n", None),
+    ]
+
+
 def test_header(spark, cells):
     header = ["Source", "Type", "Identifier", "Title", "Count", "Date", "Colour"]
     files = spark.createDataFrame([("f", header), ("g", SCHEMA.names)], "source_file string, header array<string>")

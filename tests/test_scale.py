@@ -51,6 +51,14 @@ def test_wide_tables_are_not_written_for_narrow_steps(spark):
     assert "IdentifierUUID" in written and not written & {"PotteryCountFine", "CoverageXYZ", "opening"}
 
 
+def test_number_checks_are_written_once(spark):
+    """The rule for numbers stands in the plan once, however many number columns there are."""
+    fields = [Field(f"n{i}", type="number") for i in range(40)]
+    rows = spark.range(1).selectExpr("'f' as file_name", "id as seq", *[f"cast(id as string) as n{i}" for i in range(40)])
+    found = quality.violations(rows, TableSchema(tuple(fields)))
+    assert plan(found).count("translate(") <= 4
+
+
 def test_numbers_read_before_are_summed_as_texts_are(frame, cells):
     bags = frame("Source PotteryCountFine", ("a", "3"), ("a", "-1.9"), ("a", "1d"), ("b", ""), ("b", None), (None, "7"))
     read = rollup.with_numbers(bags, ["PotteryCountFine"])
