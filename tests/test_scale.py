@@ -51,6 +51,18 @@ def test_wide_tables_are_not_written_for_narrow_steps(spark):
     assert "IdentifierUUID" in written and not written & {"PotteryCountFine", "CoverageXYZ", "opening"}
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_bag_keys_need_no_index_of_bags(spark):
+    """Only samples and finds that a bag names are classified, and only by contexts and ASUs."""
+    s = Site(spark, f"{SF_DIR}/.")  # with a folder of its own
+    keys = {r.IdentifierUUID: (r.Context_UUID, r.ASU_UUID, r.SampleBag_UUID) for r in s.make_pottery().collect()}
+    assert "index" not in s.stages._tables
+    assert 0 < s.make_named("find").count() < s.raw("find").count() / 2
+    whole = relations.bag_candidates(s.make_samples(), s.master(), s.make_finds())
+    rows = relations.left_join_spread(s.raw("bag"), relations.pottery_texts(s.raw("bag"), whole), relations.RELATION).collect()
+    assert keys == {r.IdentifierUUID: (r.Context_UUID, r.ASU_UUID, r.SampleBag_UUID) for r in rows}
+
+
 def test_number_checks_are_written_once(spark):
     """The rule for numbers stands in the plan once, however many number columns there are."""
     fields = [Field(f"n{i}", type="number") for i in range(40)]
