@@ -63,6 +63,42 @@ def test_bag_keys_need_no_index_of_bags(spark):
     assert keys == {r.IdentifierUUID: (r.Context_UUID, r.ASU_UUID, r.SampleBag_UUID) for r in rows}
 
 
+def test_bags_without_a_relation_text_are_not_moved(spark, tmp_path, cells):
+    bags = spark.createDataFrame(
+        [("B1", "C-1", "1"), ("B2", None, "2"), ("B3", "X", "3"), ("B4", None, "4")],
+        "IdentifierUUID string, RelationBelongsToUUID string, seq string",
+    )
+    texts = str(tmp_path / "texts")
+    spark.createDataFrame(
+        [("C-1", "C-1", None, "S-1")],
+        "RelationBelongsToUUID string, Context_UUID string, ASU_UUID string, SampleBag_UUID string",
+    ).write.parquet(texts)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = relations.pottery_parents(bags, None, None, None, texts=spark.read.parquet(texts))
+        moved, left = plan(rows).split("Filter isnull(RelationBelongsToUUID")
+        assert "join_key" not in moved and moved.count("Filter isnotnull(RelationBelongsToUUID") >= 1
+        assert moved.count("Exchange hashpartitioning(RelationBelongsToUUID") == 2 and "Exchange" not in left
+        assert cells(rows, "IdentifierUUID", "Context_UUID", "SampleBag_UUID") == [
+            ("B1", "C-1", "S-1"), ("B2", None, None), ("B3", None, None), ("B4", None, None),
+        ]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_finds_are_moved_once_for_the_bags(spark):
+    """Named samples and finds are one written table; the bags' texts are made distinct once."""
+    s = Site(spark, f"{SF_DIR}/./")  # with a folder of its own
+    s.pottery_texts()
+    assert {"bag_texts", "named_rows", "named"} <= set(s.stages._tables)
+    texts = s.bag_texts()
+    assert texts.count() == texts.distinct().count() > 0
+    assert s.make_named("find").filter("RelationBelongsToUUID is null").count() == 0
+    assert "lineitem" not in plan(s.make_named("find"))
+
+
 def test_number_checks_are_written_once(spark):
     """The rule for numbers stands in the plan once, however many number columns there are."""
     fields = [Field(f"n{i}", type="number") for i in range(40)]
