@@ -99,6 +99,21 @@ def test_finds_are_moved_once_for_the_bags(spark):
     assert "lineitem" not in plan(s.make_named("find"))
 
 
+def test_a_rollup_joins_each_bag_once(spark):
+    """Sums and labels come from one aggregate, and numbers are read over arrays of cells."""
+    columns = [f"n{i}" for i in range(20)]
+    bags = spark.range(4).selectExpr(
+        "'c' as Context_UUID", "cast(null as string) as ASU_UUID", "cast(4 - id as string) as seq",
+        "'T' || id as Source", "'I' || id as ContextID", *[f"cast(id + {i} as string) as n{i}" for i in range(20)],
+    )
+    read = rollup.with_numbers(bags, columns)
+    assert read.columns == bags.columns and plan(read).count("translate(") <= 3
+    rolled = rollup.rollup_context(read, columns)
+    assert "Join" not in plan(rolled)
+    row = rolled.collect()[0]
+    assert (row.Source, row.ContextID, row.n0, row.n19) == ("T3", "I3", 6, 82)
+
+
 def test_number_checks_are_written_once(spark):
     """The rule for numbers stands in the plan once, however many number columns there are."""
     fields = [Field(f"n{i}", type="number") for i in range(40)]
