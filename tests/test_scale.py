@@ -12,6 +12,7 @@ from trenchbook import config
 from trenchbook.functions.joins import left_join_spread
 from trenchbook.functions import ordered
 from trenchbook.operators import chronology, contexts, geo, quality, relations, rollup
+from trenchbook.plans import fixtures
 from trenchbook.plans.queries import QUERIES as OWN
 from trenchbook.plans.queries import Site, site
 from trenchbook.sources.schema import Field, TableSchema
@@ -99,6 +100,26 @@ def test_finds_are_moved_once_for_the_bags(spark):
     assert "lineitem" not in plan(s.make_named("find"))
 
 
+def test_plain_tables_are_not_moved_for_their_number(spark, tmp_path, monkeypatch):
+    """Files that split over the cores are read where they lie by steps that need keys alone, however many rows a task has."""
+    spark.range(0, 60000, 1, 4).selectExpr(
+        "id as l_orderkey", "id % 7 as l_partkey", "id % 5 as l_suppkey", "cast(id % 7 as int) as l_linenumber",
+        "cast(id as double) as l_quantity", "cast(id as double) as l_extendedprice", "0.5D as l_discount",
+        "'R' as l_returnflag", "'O' as l_linestatus",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(fixtures, "MOST_ROWS", 5000)
+    keys = [
+        fixtures.recording(spark, str(tmp_path), "bag", plain=p).select("IdentifierUUID", relations.RELATION) for p in (True, False)
+    ]
+    assert ["Exchange" in plan(rows) for rows in keys] == [False, True]
+    assert keys[0].exceptAll(keys[1]).count() == 0 and keys[0].count() == 60000
+    monkeypatch.setattr(fixtures, "MOST_ROWS", 2_000_000)
+    one = str(tmp_path / "one")
+    spark.read.parquet(f"{tmp_path}/lineitem.parquet").coalesce(1).write.parquet(f"{one}/lineitem.parquet")
+    spread = fixtures.recording(spark, one, "bag", plain=True)  # one row group: the cores share it
+    assert spread.withColumn("task", F.spark_partition_id()).select("task").distinct().count() == 4
+
+
 def test_a_rollup_joins_each_bag_once(spark):
     """Sums and labels come from one aggregate, and numbers are read over arrays of cells."""
     columns = [f"n{i}" for i in range(20)]
