@@ -120,6 +120,31 @@ def test_plain_tables_are_not_moved_for_their_number(spark, tmp_path, monkeypatc
     assert spread.withColumn("task", F.spark_partition_id()).select("task").distinct().count() == 4
 
 
+def test_keys_that_nobody_names_are_not_in_the_index(spark, frame, cells):
+    """One aggregate tells which keys are named; a key of several kinds, one without kind and a null are as before."""
+    master = contexts.master_context(
+        frame("Source Type IdentifierUUID RelationBelongsToUUID", ("T", "Cut", "C1", None), ("T", "Cut", "C2", None), ("T", "ASU", "A1", "C1"))
+    )
+    bags = frame("IdentifierUUID", ("P1",), ("P2",), ("C1",), ("P1",), (None,))
+    members = spark.createDataFrame([("C1",), ("P1",), ("P1",), ("X",), (None,)], "parent string")
+    whole = contexts.key_index(master, pottery=bags)
+    assert cells(contexts.key_index(master, pottery=bags, members=members)) == [("C1", 0), ("P1", 3)]
+    assert cells(whole) == [("A1", 1), ("C1", 0), ("C2", 0), ("P1", 3), ("P2", 3)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_finds_need_no_index_of_all_keys(spark, cells):
+    s = Site(spark, f"{SF_DIR}/././")  # with a folder of its own
+    for name, made in (("sample", s.make_samples()), ("find", s.make_finds())):
+        assert "index" not in s.stages._tables
+        assert made.columns == (whole := relations.classify_parents(s.raw(name), s.make_index(), s.master())).columns
+        assert cells(made) == cells(whole)
+    named = s.stages.get("find_index")
+    assert 0 < named.count() < s.make_index().count() / 2
+    joins = [line for line in plan(s.make_finds()).splitlines() if "REBALANCE" in line]
+    assert len(joins) <= 2  # only what is placed, not the index
+
+
 def test_a_rollup_joins_each_bag_once(spark):
     """Sums and labels come from one aggregate, and numbers are read over arrays of cells."""
     columns = [f"n{i}" for i in range(20)]
