@@ -1,12 +1,14 @@
 """Operators on odd rows: nulls, empty and very long texts, ties and repeated rows, empty tables, clashing names."""
 
 import hashlib
+import tracemalloc
 import zlib
 from collections import Counter
 
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import sentencepiece
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_contracts import component_ids
 from tests.llm.conftest import LONG, ODD
-from trenchbook.llm import decontaminate, fingerprint, packing, quality, suffix_dedup, token_count
+from trenchbook.llm import bytework, decontaminate, fingerprint, near_dedup, packing, quality, suffix_dedup, token_count
 from trenchbook.llm.chat_format import format_conversations, read_back
 from trenchbook.llm.license_scan import scan_licenses
 from trenchbook.llm.line_dedup import cut_repeated_lines
@@ -259,3 +261,15 @@ def test_decontaminate(spark, docs):
     assert all(not got[d] for d, _ in ODD)
     assert decontaminate.find_leaks(docs((1, item)), bench.limit(0)).first().spans == []
     assert decontaminate.find_leaks(docs(), bench).count() == 0
+
+
+def test_near_duplicates_hold_little_of_a_batch():
+    """Words and shingles of 8 MB of texts are made in small slices."""
+    texts = pa.array([" ".join(f"w{(i * 131 + j * j) % 5003}" for j in range(1200)) for i in range(1300)])
+    bytework._powers = bytework._inverse = np.ones(1, np.uint64)
+    assert texts.nbytes > 6_000_000
+    tracemalloc.start()
+    n = sum(len(offsets) - 1 for _, offsets in near_dedup.document_shingles(texts, 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and peak < 60_000_000, peak

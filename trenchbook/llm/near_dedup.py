@@ -36,7 +36,7 @@ REGISTERS = BANDS * BAND
 MANTISSA = 10
 #: Estimates below the threshold by more than this are not confirmed: over five standard deviations.
 MARGIN = 0.18
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 GAPS = gaps_but(r"[^\x20\x09-\x0D]")
 _rng = np.random.default_rng(7)
 _FLIP = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
