@@ -12,7 +12,7 @@ from trenchbook import config
 from trenchbook.functions.joins import left_join_spread
 from trenchbook.functions import ordered
 from trenchbook.operators import chronology, contexts, geo, quality, relations, rollup
-from trenchbook.plans import fixtures
+from trenchbook.plans import fixtures, queries
 from trenchbook.plans.queries import QUERIES as OWN
 from trenchbook.plans.queries import Site, site
 from trenchbook.sources.schema import Field, TableSchema
@@ -145,6 +145,22 @@ def test_finds_need_no_index_of_all_keys(spark, cells):
     assert len(joins) <= 2  # only what is placed, not the index
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+@pytest.mark.parametrize("name", ["distinct_keys", "no_counts", "no_counts_context", "not_rolled_up", "period"])
+def test_key_steps_read_plain_tables(spark, monkeypatch, name):
+    """Steps that need neither geometry nor numbers don't deal the test rows to more tasks."""
+    read = []
+
+    def noted(spark, sf_dir, name, plain=False):
+        read.append((name, plain))
+        return fixtures.recording(spark, sf_dir, name, plain)
+
+    monkeypatch.setattr(queries, "recording", noted)
+    rows = OWN[name](Site(spark, f"{SF_DIR}//{'./' * len(name)}"))
+    assert "context" in {n for n, _ in read} and all(plain for _, plain in read)
+    assert "translate(" not in plan(rows)  # nor do they read numbers
+
+
 def test_a_rollup_joins_each_bag_once(spark):
     """Sums and labels come from one aggregate, and numbers are read over arrays of cells."""
     columns = [f"n{i}" for i in range(20)]
