@@ -1,6 +1,7 @@
 """Operators on odd rows: nulls, empty and very long texts, ties and repeated rows, empty tables, clashing names."""
 
 import hashlib
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -55,6 +56,31 @@ def test_suffix_dedup_equals_brute_force(spark, seed):
             assert (removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) == expected[r.doc_id]
 
 
+def test_suffix_dedup_work_does_not_grow_with_blocks():
+    """Finding repeated grams takes as long for a bucket of many blocks as for one of few, and finds the same."""
+    rng = np.random.default_rng(7)
+    grams = rng.integers(0, 100_000, 300_000, dtype=np.uint32)
+    took, found = {}, {}
+    for n in (8, 1024):
+        parts = np.array_split(grams, n)
+        table = pa.table({"bucket": [2] * n, "block": list(range(n)), "grams": pa.array([x.tobytes() for x in parts], pa.binary())})
+        began = time.process_time()
+        rows = suffix_dedup._repeated(table).to_pylist()
+        took[n] = time.process_time() - began
+        found[n] = set()
+        for r in rows:
+            kept = set(np.frombuffer(r["grams"], np.uint32).tolist())
+            assert r["bucket"] == 2 and kept and kept <= set(parts[r["block"]].tolist())
+            found[n] |= kept
+    values, counts = np.unique(grams, return_counts=True)
+    assert found[8] == found[1024] == set(values[counts > 1].tolist())
+    assert took[1024] < 8 * took[8] + 0.5
+    twice = np.array([5, 5, 7, 9], np.uint32)  # counted twice in its block, and once in two blocks
+    table = pa.table({"bucket": [1, 1, 1], "block": [0, 1, 2], "grams": pa.array([b"", twice.tobytes(), twice[2:3].tobytes()], pa.binary())})
+    got = {r["block"]: np.frombuffer(r["grams"], np.uint32).tolist() for r in suffix_dedup._repeated(table).to_pylist()}
+    assert got == {1: [5, 7], 2: [7]}
+
+
 def test_token_count(docs):
     rows = token_count.count_tokens(docs(*ODD, (8, " a  b "), (9, "x▁y\n")), PIECES).collect()
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)

@@ -151,14 +151,30 @@ def _first_digit(buckets: int):
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(b, np.uint32) for b in table.column("grams").to_pylist()]
-    every = np.sort(np.concatenate(parts))
-    again = np.unique(every[1:][every[1:] == every[:-1]])
-    kept = [np.intersect1d(p, again) for p in parts]
-    some = np.array([len(k) > 0 for k in kept])
-    return table.select(["block", "bucket"]).append_column(
-        "grams", pa.array([k.tobytes() for k in kept], pa.binary())
-    ).filter(pa.array(some))
+    """Grams of each block that come again in the bucket. All blocks are searched at once: there are as many as the
+    input has, so that a pass over the bucket for each would be work by the square of the input."""
+    column = table.column("grams").combine_chunks().cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    every = np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(np.uint32)
+    ends = (at - at[0]) // 4
+    ranked = np.sort(every)
+    again = ranked[1:][ranked[1:] == ranked[:-1]]
+    again = again[_runs(again)] if len(again) else again
+    kept = np.zeros(len(every), bool)
+    if len(again):
+        kept = again[np.minimum(np.searchsorted(again, every), len(again) - 1)] == every
+    # a gram that counted twice in its block stands beside itself
+    same = np.zeros(len(every), bool)
+    same[1:] = every[1:] == every[:-1]
+    same[ends[:-1][ends[:-1] < len(every)]] = False
+    kept &= ~same
+    left = np.concatenate(([0], np.cumsum(kept)))[ends] * 4
+    grams = pa.Array.from_buffers(
+        pa.large_binary(), len(column), [None, pa.py_buffer(left), pa.py_buffer(every[kept].tobytes())]
+    )
+    some = pa.array(np.diff(left) > 0)
+    return table.select(["block", "bucket"]).append_column("grams", grams.cast(pa.binary())).filter(some)
 
 
 def _surroundings(data: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
