@@ -118,3 +118,23 @@ def test_ring_of_many_points(frame):
         wkt.measured_polygons(F.col("w"))[0].alias("p")
     ).select("p.*", wkt.is_well_formed(F.col("p.wkt")).alias("good")).first()
     assert (row.area, row.low, row.good, row.wkt) == (2.0 * (n - 1), 0.0, True, ring)
+
+
+def test_number_cells_follow_the_rule(frame):
+    """Cells read together are what ``number`` and ``is_bad_number`` say of each."""
+    texts = [
+        "1", " 2 ", "-1.9", "1e2", "", " ", None, "many", "1d", "2F", "0x1p3", "NaN", "Infinity", "-inf", "9223372036854775807",
+        "9223372036854775808", "-9223372036854775808", "-9.3e18", "4611686018427387904", "1e400", "0.1", "-0", "12345678901234567890",
+    ]
+    clean = [t for t in texts if not t or not set(t) & set("dDfFxX")]
+    for some in (texts, clean):  # with and without letters that are spoilt
+        rows = frame("text", *[(t,) for t in some])
+        one = rows.select("seq", text.number(F.col("text")).alias("n"), text.is_bad_number(F.col("text")).alias("bad")).orderBy("seq").collect()
+        cells = rows.orderBy("seq").agg(F.array_agg(F.struct("seq", "text")).alias("a")).select(
+            text.number_cells(F.transform(F.array_sort("a"), lambda x: x["text"])).alias("n")
+        ).first().n
+        # array_agg keeps null texts, as they are inside structs
+        assert len(cells) == len(some)
+        for t, r, cell in zip(some, one, cells):
+            assert (cell is not None and cell != cell) == bool(r.bad), t
+            assert r.bad or cell == r.n, t

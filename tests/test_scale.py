@@ -15,6 +15,7 @@ from trenchbook.operators import chronology, contexts, geo, quality, relations,
 from trenchbook.plans import fixtures, queries
 from trenchbook.plans.queries import QUERIES as OWN
 from trenchbook.plans.queries import Site, site
+from trenchbook.sources import publish
 from trenchbook.sources.schema import Field, TableSchema
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -184,6 +185,26 @@ def test_number_checks_are_written_once(spark):
     assert plan(found).count("translate(") <= 4
 
 
+def test_published_numbers_are_read_once(spark, frame, cells):
+    """Numbers stand in the plan once for the check and the typed value, and only in rows of repeated keys for the copies."""
+    fields = [Field(f"n{i}", type="number") for i in range(40)]
+    schema = TableSchema((Field("IdentifierUUID"), *fields))
+    rows = frame(
+        " ".join(schema.names),
+        *[(key, "0.5", *[n] * 39) for key, n in (("A", "1"), ("A", "2"), ("B", "x"), ("B", "3"), ("C", ""), ("C", None), (None, "1"))],
+    )
+    seen = publish.seen_keys(rows)
+    assert "translate(" not in plan(seen) and cells(seen) == [("A",), ("B",), ("C",)]
+    copies = publish.load_copies(rows, schema, seen=seen)
+    assert cells(copies, "repeated_key") == cells(publish.load_copies(rows, schema), "repeated_key") == [("A",), ("C",)]
+    loaded = publish.publish_table(rows, schema, copies=copies)
+    assert plan(loaded).count("translate(") <= 2 * plan(copies).count("translate(") <= 4
+    assert loaded.schema["n3"].metadata["type"] == "number" and dict(loaded.dtypes)["n3"] == "double"
+    assert cells(loaded, "IdentifierUUID", "n0", "n39") == [("A", 0.5, 1.0), ("B", 0.5, 3.0), ("C", 0.5, None)]
+    bare = TableSchema((Field("IdentifierUUID"),))  # without a number
+    assert cells(publish.publish_table(rows, bare)) == [("A",), ("B",), ("C",)]
+
+
 def test_numbers_read_before_are_summed_as_texts_are(frame, cells):
     bags = frame("Source PotteryCountFine", ("a", "3"), ("a", "-1.9"), ("a", "1d"), ("b", ""), ("b", None), (None, "7"))
     read = rollup.with_numbers(bags, ["PotteryCountFine"])
