@@ -185,6 +185,35 @@ def test_number_checks_are_written_once(spark):
     assert plan(found).count("translate(") <= 4
 
 
+def test_rolled_rows_are_not_moved_to_their_phases(spark, frame, cells, small_partitions):
+    """A keyed rollup is moved once, by its aggregate; the joins with ASUs and phases leave its rows where they are."""
+    master = frame(
+        "IdentifierUUID Type Context_UUID ASU_UUID",
+        ("C1", "Cut", "C1", None), ("A1", "ASU", "C1", "A1"), ("A2", "ASU", None, "A2"), ("C2", "Cut", "C2", None),
+        ("B", "Cut", "B", None), ("B", "ASU", "C1", "B"), (None, "Cut", None, None),
+    )
+    pottery = frame(
+        "Source ContextID Context_UUID ASU_UUID n",
+        ("T1", "1", "C1", None, "1"), ("T1", "1", "C1", "A1", "2"), ("T2", "2", None, "A2", "4"), ("T3", None, "B", None, "8"),
+        ("T3", "3", "C1", "B", "16"), ("T4", "4", None, None, "32"), ("T5", "5", "C9", None, "64"),
+    )
+    phased = master.select("IdentifierUUID", "Type", F.lit("A").alias("Period"))
+    found = {}
+    for keyed in (False, True):
+        rolled = rollup.rollup_context_asu(pottery, master, ["n"], keyed)
+        assert rolled.columns[:5] == ["Source", "ContextID", "n", "Context_UUID", "ASU_UUID"] and len(rolled.columns) == 5 + 2 * keyed
+        found[keyed] = chronology.counts_context_asu(phased, rolled)
+    wide = [x for x in plan(found[True]).split("Exchange hashpartitioning(")[1:] if x.startswith("level_uuid")]
+    assert len(wide) == 2  # of the sums and of the ASUs
+    assert "hashpartitioning(IdentifierUUID" in plan(found[True])
+    assert found[True].columns == found[False].columns
+    assert cells(found[True]) == cells(found[False])
+    assert cells(found[True], "IdentifierUUID", "Type", "n", "Pottery_Context_UUID", "Pottery_ASU_UUID") == [
+        ("A1", "ASU", 2, "C1", "A1"), ("A2", "ASU", 4, None, "A2"), ("B", "ASU", 16, "C1", "B"), ("B", "Cut", 8, "B", None),
+        ("C1", "Cut", 1, "C1", None),
+    ]
+
+
 def test_published_numbers_are_read_once(spark, frame, cells):
     """Numbers stand in the plan once for the check and the typed value, and only in rows of repeated keys for the copies."""
     fields = [Field(f"n{i}", type="number") for i in range(40)]
